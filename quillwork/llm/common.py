@@ -51,10 +51,19 @@ class Scratch:
         out._quillwork_path = path
         return out
 
+    def keep_only(self, *kept: DataFrame) -> None:
+        """Remove all written tables but these."""
+        paths = {df._quillwork_path for df in kept}
+        for k in range(self.n):
+            if f"{self.root}/{k}" not in paths:
+                self._delete(f"{self.root}/{k}")
+
     def drop(self, df: DataFrame) -> None:
         """Remove one written table that no later step reads."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df._quillwork_path)
+        self._delete(df._quillwork_path)
+
+    def _delete(self, where: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 

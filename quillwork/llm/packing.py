@@ -25,7 +25,7 @@ CAPACITY = 4096
 #: Id that ends every document.
 END = 1
 #: Rows of documents that one group holds, about. A group is packed by one task.
-GROUP_ROWS = 12_000
+GROUP_ROWS = 4_000
 #: Rounds of local search without a bin emptied before a group is done.
 PATIENCE = 3
 

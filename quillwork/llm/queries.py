@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, html_text, langid, lm_score, packing, toxicity, url_filter
+from . import bpe, fingerprint, html_text, langid, lm_score, near_vectors, ngram_join, packing, toxicity, url_filter
 from .common import held_out, table
 
 
@@ -52,6 +52,14 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_documents(docs, lm_score.fit(docs))
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(table(spark, sf_dir, "documents"))
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -65,6 +73,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_language_id": op5_language_id,
         "op6_bpe": op6_bpe,
         "op7_lm_scoring": op7_lm_scoring,
+        "op8_embedding_dedup": op8_embedding_dedup,
+        "op9_ngram_join": op9_ngram_join,
         "op10_html_extraction": op10_html_extraction,
     }
 
