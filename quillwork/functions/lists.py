@@ -14,7 +14,7 @@ def parse_list(c: Column, fallback: str = "whole") -> Column:
     listed = s.startswith("[")
     as_json = F.from_json(F.when(listed, s), "array<string>")
     as_literal = F.from_json(F.when(listed, F.regexp_replace(F.regexp_replace(s, r"(?<=[\[,])\s*'|'\s*(?=[,\]])", '"'), r"\bNone\b", "null")), "array<string>")
-    rest = {"whole": F.array(s), "lower": F.array(F.lower(s)), "commas": F.filter(F.transform(F.split(F.regexp_replace(s, r"[\[\]'\"]", ""), ","), F.trim), lambda x: x != "")}[fallback]
+    rest = {"whole": F.array(s), "lower": F.array(F.lower(s)), "commas": F.filter(F.transform(F.split(F.regexp_replace(s, r"[\[\]'\"]", ""), ","), lambda x: F.trim(x)), lambda x: x != "")}[fallback]
     good = lambda a: F.when(F.size(F.filter(a, lambda x: x.isNotNull())) > 0, a)
     return F.when(~nullish(c), F.coalesce(good(as_json), good(as_literal), rest))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -90,8 +91,6 @@ def unify_dashes(c: Column) -> Column:
 
 def nfkc(c: Column) -> Column:
     """Compatibility composition. Vectorised in Python: the JVM has no such function in SQL."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def run(s: pd.Series) -> pd.Series:
         return s.str.normalize("NFKC")
@@ -177,7 +176,7 @@ def similar_strict(a: Column, b: Column, share: float = 0.7) -> Column:
 
 def dedupe_artist(c: Column) -> Column:
     """Of comma-separated names in list clothes: the longest that holds all others, else the longest; ties to the first."""
-    parts = F.filter(F.transform(F.split(F.regexp_replace(c, r"[\[\]'\"]", ""), ","), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(F.regexp_replace(c, r"[\[\]'\"]", ""), ","), lambda x: F.trim(x)), lambda p: p != "")
     holding = F.filter(parts, lambda x: F.forall(parts, lambda p: F.contains(x, p)))
     longest = lambda arr: F.reduce(arr, F.lit(""), lambda best, x: F.when(F.length(x) > F.length(best), x).otherwise(best))
     return F.when(c.isNotNull(), F.when(F.size(holding) > 0, longest(holding)).when(F.size(parts) > 0, longest(parts)))

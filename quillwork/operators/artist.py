@@ -74,7 +74,7 @@ def parse_artist(text: Column) -> Column:
 
     Texts with several makers are not parsed. One unreadable line leaves the whole text unparsed.
     """
-    lines = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
     def step(state: Column, line: Column) -> Column:
         inline = line.rlike(_INLINE)

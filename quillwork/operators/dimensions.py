@@ -158,13 +158,13 @@ def reparse_dimensions(text: Column) -> Column:
         value = F.regexp_extract(x, segment, 3).try_cast("double") * F.when(unit == "mm", 0.1).when(unit == "kg", 1000.0).otherwise(1.0)
         return F.when(x.rlike(segment), F.struct(F.lower(F.regexp_extract(x, segment, 2)).alias("attribute"), F.round(value, 2).alias("value"), F.nullif(F.lower(F.regexp_extract(x, segment, 1)), F.lit("")).alias("note")))
 
-    lines = F.filter(F.transform(F.split(text, r"[;\n]"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(text, r"[;\n]"), lambda x: F.trim(x)), lambda x: x != "")
     label = r"^([^:]+):\s*(.*)$"
 
     def part(x: Column) -> Column:
         name = F.nullif(F.trim(F.regexp_extract(x, label, 1)), F.lit(""))
         body = F.when(x.rlike(label), F.regexp_extract(x, label, 2)).otherwise(x)
-        return F.struct(name.alias("part"), F.transform(F.transform(F.split(body, r"\s+[xX×]\s+"), F.trim), measure).alias("measurements"))
+        return F.struct(name.alias("part"), F.transform(F.transform(F.split(body, r"\s+[xX×]\s+"), lambda x: F.trim(x)), measure).alias("measurements"))
 
     def checked(parts: Column) -> Column:
         bad = F.exists(parts, lambda p: F.exists(p["measurements"], lambda m: m.isNull()))

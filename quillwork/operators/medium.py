@@ -51,7 +51,7 @@ def extract_medium(text: Column, dictionary: dict[str, tuple[str, str]] | None =
 def route_terms(materials: Column, techniques: Column, dictionary: dict[str, tuple[str, str]] | None = None) -> Column:
     """Comma lists of terms, brackets removed, each put where the dictionary has it; unknown terms stay where they came from."""
     d = dictionary or DICTIONARY
-    split = lambda c: F.filter(F.transform(F.split(F.lower(F.regexp_replace(F.coalesce(c, F.lit("")), r"\([^()]*\)|[\[\]'\"]", "")), ","), F.trim), lambda x: x != "")
+    split = lambda c: F.filter(F.transform(F.split(F.lower(F.regexp_replace(F.coalesce(c, F.lit("")), r"\([^()]*\)|[\[\]'\"]", "")), ","), lambda x: F.trim(x)), lambda x: x != "")
     m, t = split(materials), split(techniques)
     kinds = {k: F.array(*[F.lit(x) for x, (kind, _) in d.items() if kind in (k, "ambiguous")]) for k in ("material", "technique")}
     known = F.array(*map(F.lit, d))

@@ -106,7 +106,7 @@ def era_clusters(spark, d):
 @query("jaccard_adjacency", """
 WITH s AS (SELECT DISTINCT p_brand AS k, p_size AS i FROM part WHERE p_retailprice > 1000), z AS (SELECT k, count(*) AS size FROM s GROUP BY 1),
 b AS (SELECT x.k AS a, y.k AS b, count(*) AS both_n FROM s x JOIN s y ON x.i = y.i AND x.k <> y.k GROUP BY 1, 2)
-SELECT a, b, round(both_n / (za.size + zb.size - both), 6) AS jaccard FROM b JOIN z za ON za.k = a JOIN z zb ON zb.k = b WHERE both_n / (za.size + zb.size - both) > 0.5""")
+SELECT a, b, round(both_n / (za.size + zb.size - both_n), 6) AS jaccard FROM b JOIN z za ON za.k = a JOIN z zb ON zb.k = b WHERE both_n / (za.size + zb.size - both_n) > 0.5""")
 def jaccard_adjacency(spark, d):
     sets = t(spark, d, "part").where("p_retailprice > 1000").groupBy("p_brand").agg(F.collect_set("p_size").alias("sizes"))
     return knowledge.jaccard_adjacency(sets, "p_brand", "sizes").withColumn("jaccard", F.round("jaccard", 6))
@@ -641,7 +641,7 @@ def pair_swap(spark, d):
 @query("interchange_top3", """
 WITH x AS (SELECT DISTINCT l_orderkey AS r, p_brand AS b FROM lineitem JOIN part ON l_partkey = p_partkey), c AS (SELECT p.b AS old, q.b AS new, count(*) AS score FROM x p JOIN x q ON p.r = q.r AND p.b <> q.b GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY old ORDER BY score DESC, new) AS rank FROM c WHERE score > 5) SELECT old, new, score, rank FROM r WHERE rank <= 3""")
 def interchange_top3(spark, d):
-    rows = t(spark, d, "lineitem").join(t(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", F.translate("p_brand", "#", "").alias("brand"))
+    rows = t(spark, d, "lineitem").join(t(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", F.col("p_brand").alias("brand"))
     near = knowledge.cooccurrence(rows, "l_orderkey", "brand", 1, 1)
     brands = rows.select("brand").distinct().select(F.col("brand").alias("object_ID"), F.col("brand").alias("object_name"), F.lit("-").alias("other"), F.array("brand").alias("items"))
     with_object = near.select(F.col("neighbour").alias("term"), F.col("term").alias("neighbour"), "n")

@@ -83,7 +83,7 @@ def aggregated_uri(xml: Column) -> Column:
 
 def literals(xml: Column, path: str) -> Column:
     """All texts at a path, joined by ', '; null without any."""
-    found = F.filter(F.transform(F.xpath(plain_xml(xml), F.lit(path)), F.trim), lambda x: x.isNotNull() & (x != ""))
+    found = F.filter(F.transform(F.xpath(plain_xml(xml), F.lit(path)), lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != ""))
     return F.nullif(F.array_join(found, ", "), F.lit(""))
 
 
