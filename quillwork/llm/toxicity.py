@@ -31,7 +31,7 @@ HOMOGLYPHS = dict(zip("абвгеёикмнорстухіїјѕԁһӏαβεικ
 #: Digits and signs that stand for letters inside a word.
 DIGITS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "|": "l"})
 #: Most labelled rows of each kind that a lexicon is fitted on.
-SAMPLE = 12_000
+SAMPLE = 8_000
 LEXICON_SIZE = 2_000
 
 _PLAIN = re.compile(r"[a-z]+\Z")
@@ -158,7 +158,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, size: int = LE
         return Lexicon()
     share = F.when(F.col("toxic") == 1, min(1.0, sample / pos)).otherwise(min(1.0, sample / neg))
     picked = labels.where(unit_hash(F.col("doc_id"), seed=2) < share)
-    rows = docs.select("doc_id", "text").join(picked, "doc_id").select("text", "toxic")
+    # the picked ids are bounded by the sample, so they go to the texts and no text is shuffled
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "toxic")
     used_pos, used_neg = min(pos, sample), min(neg, sample)
     counted = rows.mapInArrow(_count_terms, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     # how unlikely pos of pos + neg is where the rows with a term are drawn alike: log ratio of likelihoods
