@@ -137,6 +137,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def by_row(values: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The order by row and value. Few rows are sorted by radix behind one sort of the values."""
+    order = np.argsort(values)
+    small = rows[order].astype(np.uint16) if len(rows) and rows.max() < 1 << 16 else rows[order]
+    return order[np.argsort(small, kind="stable")]
+
+
 def word_hashes(batch: pa.RecordBatch, column: str = "text") -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words [^\\x20\\x09-\\x0D]+ (A-Z as a-z) of all rows, and each word's row."""
     values = [(x or "").encode("utf-8", "surrogatepass") for x in batch.column(column).to_pylist()]
@@ -178,7 +185,7 @@ def shingles(batch: pa.RecordBatch, size: int = 5, column: str = "text") -> tupl
         found.append(mix(values + counts[short].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
         where.append(short)
     hashes, at = np.concatenate(found), np.concatenate(where)
-    order = np.lexsort((hashes, at))
+    order = by_row(hashes, at)
     hashes, at = hashes[order], at[order]
     new = np.ones(len(hashes), dtype=bool)
     new[1:] = (hashes[1:] != hashes[:-1]) | (at[1:] != at[:-1])

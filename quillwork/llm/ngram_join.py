@@ -43,7 +43,9 @@ RANGE_ROWS = 500_000
 #: A list longer than this is handled by stars first.
 SMALL = 4
 #: Rounds of stars before the remaining pairs of the lists are counted one by one.
-STAR_ROUNDS = 4
+STAR_ROUNDS = 3
+#: Buckets that one row of sketch counts holds.
+CHUNK = 1 << 14
 
 _ROW = np.dtype([("t", "<u8"), ("s", "<i8"), ("n", "<i4"), ("l", "u1")])
 
@@ -63,29 +65,36 @@ def signatures(hashes: np.ndarray, rows: np.ndarray, n_rows: int) -> tuple[np.nd
 
 
 def _measure(bits: int, size: int):
-    """Worker: a row (0, doc_id, signature, size) for each document, rows (1, bucket, count, 0) for the sketch."""
-    schema = arrow_schema("kind int, a long, b long, n long")
-
-    def batch(kind: int, *columns: np.ndarray | pa.Array) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), kind, np.int32)), *(c if isinstance(c, pa.Array) else pa.array(c) for c in columns)], schema=schema)
+    """Worker: a row (0, doc_id, signature, size) for each document, and the task's shingle counts as rows (1, chunk of buckets, counts)."""
+    schema = arrow_schema("kind int, a long, b long, n long, counts binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << bits, dtype=np.int64)
+        counts = np.zeros(1 << bits, dtype=np.uint32)
         seen: set[int] = set()
         for block in text_blocks(batches):
             hashes, rows = shingles(block, size)
             n, sig = signatures(hashes, rows, block.num_rows)
-            yield batch(0, block.column("doc_id"), sig, n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), block.column("doc_id"), pa.array(sig), pa.array(n), pa.nulls(len(n), pa.binary())], schema=schema)
             fresh = _first_seen(sig, n, seen)
-            counts += np.bincount((hashes[fresh[rows]] & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits)
-        at = np.flatnonzero(counts)
-        for lo in range(0, len(at), 50_000):
-            part = at[lo : lo + 50_000]
-            yield batch(1, part, counts[part], np.zeros(len(part), np.int64))
+            np.add.at(counts, (hashes[fresh[rows]] & np.uint64((1 << bits) - 1)).astype(np.int64), 1)
+        for chunk, lo in enumerate(range(0, 1 << bits, CHUNK)):
+            part = counts[lo : lo + CHUNK]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), pa.array([chunk]), pa.array([0]), pa.array([0]), pa.array([part.tobytes()], pa.binary())], schema=schema)
 
     return run
 
 
+def _add_up(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Worker: the sum of one chunk's counts over all tasks, batch by batch."""
+    total = None
+    for b in batches:
+        for x in b.column("counts").to_pylist():
+            part = np.frombuffer(x, dtype=np.uint32).astype(np.int64)
+            total = part if total is None else total + part
+    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["a", "counts"])
+
+
 def _first_seen(sig: np.ndarray, n: np.ndarray, seen: set[int], bound: int = 500_000) -> np.ndarray:
     """Rows whose set this task hasn't met yet. The memory is bounded; beyond it a copy may pass again, which costs rows but no correctness."""
     out = np.zeros(len(sig), dtype=bool)
@@ -105,11 +114,18 @@ def estimates(counts: np.ndarray) -> np.ndarray:
     return np.maximum(1.0, counts - noise - 3.0 * np.sqrt(total / m))
 
 
-def prefixes(hashes: np.ndarray, rows: np.ndarray, n_rows: int, counts: np.ndarray, guess: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def count_ranks(counts: np.ndarray) -> np.ndarray:
+    """The place of each bucket's count among all different counts, as 16 bits: the order of rarity. Beyond the last place all are alike."""
+    return np.minimum(np.searchsorted(np.unique(counts), counts), (1 << 16) - 1).astype(np.uint16)
+
+
+def prefixes(hashes: np.ndarray, rows: np.ndarray, n_rows: int, ranks: np.ndarray, guess: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(index of each prefix shingle, its row's set size by row, its row's l by row), prefix shingles sorted by row."""
     n = np.bincount(rows, minlength=n_rows).astype(np.int64)
-    bucket = (hashes & np.uint64(len(counts) - 1)).astype(np.int64)
-    order = np.lexsort((hashes, counts[bucket], rows))
+    bucket = (hashes & np.uint64(len(ranks) - 1)).astype(np.int64)
+    # the hashes of a row are sorted, so ties of the count stay in the order of their hash
+    order = np.argsort(ranks[bucket], kind="stable")
+    order = order[np.argsort(rows[order].astype(np.uint16) if n_rows <= 1 << 16 else rows[order], kind="stable")]
     first = np.cumsum(n) - n
     extra = np.concatenate([[0.0], np.cumsum(guess[bucket[order]] - 1.0)])
     base = n - _ceil_share(n, NUM, DEN)
@@ -128,6 +144,7 @@ def prefixes(hashes: np.ndarray, rows: np.ndarray, n_rows: int, counts: np.ndarr
 def _deal(size: int, counts: np.ndarray, ranges: int, hot: float):
     """Worker: prefix shingles of the sets that the task meets first, packed by range: (r, rows)."""
     guess = estimates(counts)
+    ranks = count_ranks(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -140,7 +157,7 @@ def _deal(size: int, counts: np.ndarray, ranges: int, hot: float):
             salts = np.maximum(1, np.ceil(guess[(data["t"] & np.uint64(len(guess) - 1)).astype(np.int64)] / hot)).astype(np.uint64)
             salt = mix(data["s"].view(np.uint64)) % salts
             r = ((mix(data["t"]) + salt) % np.uint64(ranges)).astype(np.int32)
-            order = np.argsort(r, kind="stable")
+            order = np.argsort(r.astype(np.uint16) if ranges <= 1 << 16 else r, kind="stable")
             data, r = data[order], r[order]
             cuts = np.flatnonzero(np.diff(r, prepend=-1))
             packed = [data[lo:hi].tobytes() for lo, hi in zip(cuts, np.append(cuts[1:], len(r)), strict=True)]
@@ -153,7 +170,7 @@ def _deal(size: int, counts: np.ndarray, ranges: int, hot: float):
             hashes, rows = hashes[fresh], rows[fresh]
             if not len(hashes):
                 continue
-            at, n, matches = prefixes(hashes, rows, block.num_rows, counts, guess)
+            at, n, matches = prefixes(hashes, rows, block.num_rows, ranks, guess)
             data = np.empty(len(at), dtype=_ROW)
             own = rows[at]
             data["t"], data["s"], data["n"], data["l"] = hashes[at], sig[own], n[own], matches[own]
@@ -229,13 +246,16 @@ def _verify(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for block in text_blocks([whole], "text_b"):
-                (x, in_x), (y, in_y) = shingles(block, size, "text_a"), shingles(block, size, "text_b")
-                sets = [np.bincount(r, minlength=block.num_rows) for r in (in_x, in_y)]
-                both, rows = np.concatenate([x, y]), np.concatenate([in_x, in_y])
-                order = np.lexsort((both, rows))
-                both, rows = both[order], rows[order]
-                shared = np.bincount(rows[1:][(both[1:] == both[:-1]) & (rows[1:] == rows[:-1])], minlength=block.num_rows)
-                ok = (shared * DEN >= (sets[0] + sets[1] - shared) * NUM) & (shared > 0)
+                # a hub's text comes often and is cut into shingles once
+                _, first, same = np.unique(block.column("a").to_numpy(), return_index=True, return_inverse=True)
+                (x, in_x), (y, in_y) = shingles(block.take(pa.array(first)), size, "text_a"), shingles(block, size, "text_b")
+                at_x, at_y = np.searchsorted(in_x, np.arange(len(first) + 1)), np.searchsorted(in_y, np.arange(block.num_rows + 1))
+                ok = np.zeros(block.num_rows, dtype=bool)
+                for i, k in enumerate(same.tolist()):
+                    one, two = x[at_x[k] : at_x[k + 1]], y[at_y[i] : at_y[i + 1]]
+                    if len(one) and len(two):
+                        shared = int((one[np.minimum(np.searchsorted(one, two), len(one) - 1)] == two).sum())
+                        ok[i] = shared * DEN >= (len(one) + len(two) - shared) * NUM
                 kept = block.filter(pa.array(ok))
                 yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], names=["a", "b"])
 
@@ -249,13 +269,13 @@ def classes(docs: DataFrame, scratch: Scratch | None = None, range_rows: int = R
     hot = hot or range_rows / 4.0
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     n_docs = docs.count()
-    bits = min(20, max(10, math.ceil(math.log2(max(n_docs, 2))) - 2))
-    measured = scratch.write(docs.mapInArrow(_measure(bits, SHINGLE), "kind int, a long, b long, n long"), "kind")
+    bits = min(22, max(14, math.ceil(math.log2(max(n_docs, 2))) + 2))
+    measured = scratch.write(docs.mapInArrow(_measure(bits, SHINGLE), "kind int, a long, b long, n long, counts binary"), "kind")
     sets = measured.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("sig"), "n")
-    sketch = measured.where("kind = 1").groupBy("a").agg(F.sum("b").alias("b")).collect()
     counts = np.zeros(1 << bits, dtype=np.int64)
-    for r in sketch:
-        counts[r["a"]] = r["b"]
+    for r in measured.where("kind = 1").select("a", "counts").groupBy("a").applyInArrow(_add_up, "a long, counts binary").collect():
+        part = np.frombuffer(r["counts"], dtype=np.int64)
+        counts[r["a"] * CHUNK : r["a"] * CHUNK + len(part)] = part
     total = sets.agg(F.sum(F.col("n") - F.ceil(F.col("n") * (NUM / DEN)) + 2)).first()[0] or 0
     ranges = max(1, -(-int(total) // range_rows))
     linked = sets.where("n > 0 and doc_id is not null")
@@ -285,7 +305,7 @@ def classes(docs: DataFrame, scratch: Scratch | None = None, range_rows: int = R
         if not load[0]:
             break
         rest = rest.join(open_.select("shingle"), "shingle", "left_semi")
-        last = turn == STAR_ROUNDS or load[0] <= 8 * load[1]
+        last = turn == STAR_ROUNDS or load[0] <= 8 * load[1] + 4 * n_docs
         fits = F.least("a.n", "b.n") * DEN >= F.greatest("a.n", "b.n") * NUM
         pair = [F.least("a.sig", "b.sig").alias("a"), F.greatest("a.sig", "b.sig").alias("b")]
         rest = scratch.write(rest)
