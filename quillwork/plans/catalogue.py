@@ -104,12 +104,12 @@ def era_clusters(spark, d):
 
 
 @query("jaccard_adjacency", """
-WITH s AS (SELECT DISTINCT p_brand AS k, p_size AS i FROM part WHERE p_retailprice > 1000), z AS (SELECT k, count(*) AS size FROM s GROUP BY 1),
+WITH s AS (SELECT DISTINCT p_brand AS k, p_size AS i FROM part WHERE p_partkey % 7 = 0), z AS (SELECT k, count(*) AS size FROM s GROUP BY 1),
 b AS (SELECT x.k AS a, y.k AS b, count(*) AS both_n FROM s x JOIN s y ON x.i = y.i AND x.k <> y.k GROUP BY 1, 2)
-SELECT a, b, round(both_n / (za.size + zb.size - both_n), 6) AS jaccard FROM b JOIN z za ON za.k = a JOIN z zb ON zb.k = b WHERE both_n / (za.size + zb.size - both_n) > 0.5""")
+SELECT a, b, round(both_n / (za.size + zb.size - both_n), 6) AS jaccard FROM b JOIN z za ON za.k = a JOIN z zb ON zb.k = b WHERE both_n / (za.size + zb.size - both_n) > 0.25""")
 def jaccard_adjacency(spark, d):
-    sets = t(spark, d, "part").where("p_retailprice > 1000").groupBy("p_brand").agg(F.collect_set("p_size").alias("sizes"))
-    return knowledge.jaccard_adjacency(sets, "p_brand", "sizes").withColumn("jaccard", F.round("jaccard", 6))
+    sets = t(spark, d, "part").where("p_partkey % 7 = 0").groupBy("p_brand").agg(F.collect_set("p_size").alias("sizes"))
+    return knowledge.jaccard_adjacency(sets, "p_brand", "sizes", 0.25).withColumn("jaccard", F.round("jaccard", 6))
 
 
 @query("significant_values", """
@@ -329,7 +329,17 @@ def html_to_text(spark, d):
     return t(spark, d, "pages").select("page_id", text.html_to_text(F.col("html")).alias("txt"))
 
 
-@query("html_strip")
+def _strip_sql() -> str:
+    """The SQL of strip_html: tags, then each reference in turn, then the lines."""
+    c = r"regexp_replace(regexp_replace(html, '(?i)<br\s*/?>', ' ', 'g'), '(?s)<[^>]+>', '', 'g')"
+    for name, value in text.ENTITIES.items():
+        c = f"replace({c}, '&{name};', '{value.replace(chr(39), chr(39) * 2)}')"
+    c = f"replace({c}, chr(160), ' ')"
+    lines = rf"array_to_string(list_transform(string_split({c}, chr(10)), lambda x: trim(regexp_replace(x, '[ \t]+', ' ', 'g'), ' ')), chr(10))"
+    return rf"SELECT page_id, regexp_replace({lines}, '^\s+|\s+$', '', 'g') AS txt FROM pages"
+
+
+@query("html_strip", _strip_sql())
 def html_strip(spark, d):
     return t(spark, d, "pages").select("page_id", text.strip_html(F.col("html")).alias("txt"))
 
@@ -483,6 +493,29 @@ def medium_extract(spark, d):
     return p.select("p_partkey", F.array_join(m["materials"], ",").alias("materials"), F.array_join(m["techniques"], ",").alias("techniques"))
 
 
+@query("artist_parse", """
+SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 3 THEN 'unparsed' ELSE 'parsed' END AS status, CASE WHEN s_suppkey % 4 < 3 THEN translate(s_name, '#0123456789', ' abcdefghij') END AS artist_name, CASE WHEN s_suppkey % 4 < 3 THEN 'French' END AS artist_nationality,
+CASE s_suppkey % 4 WHEN 0 THEN '1840' WHEN 1 THEN '1840' WHEN 2 THEN '1800' END AS artist_date_begin, CASE s_suppkey % 4 WHEN 0 THEN '1926' WHEN 1 THEN '1849' WHEN 2 THEN '1899' END AS artist_date_end FROM supplier""")
+def artist_parse(spark, d):
+    from ..operators.artist import parse_artist
+
+    k, name = F.col("s_suppkey") % 4, F.translate("s_name", "#0123456789", " abcdefghij")
+    s = F.when(k == 0, F.concat(name, F.lit("\nFrench, 1840–1926"))).when(k == 1, F.concat(name, F.lit(" (French, active 1840s)"))).when(k == 2, F.concat(name, F.lit(" (French, 19th century)"))).otherwise(F.concat(F.lit("Workshop of "), name, F.lit(" (Flemish, 1568–1594)")))
+    rows = t(spark, d, "supplier").select("s_suppkey", parse_artist(s).alias("p")).withColumn("a", F.try_element_at("p.artists", F.lit(1)))
+    return rows.select("s_suppkey", "p.status", "a.artist_name", "a.artist_nationality", "a.artist_date_begin", "a.artist_date_end")
+
+
+@query("consolidate_dates", "SELECT o_orderkey, abs(b) AS date_begin, abs(b) + 5 AS date_end, b < 0 AS bce FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN -year(o_orderdate) ELSE year(o_orderdate) END AS b FROM orders)")
+def consolidate_dates(spark, d):
+    from ..operators.consolidate import unwrap_date
+
+    y = F.year("o_orderdate")
+    b = F.when(F.col("o_orderkey") % 3 == 0, -y).otherwise(y)
+    parsed = F.lit(None).cast("struct<date_begin:int,date_end:int,date_begin_bce:boolean,date_end_bce:boolean>")
+    out = unwrap_date(parsed, b.cast("string"), F.when(b < 0, b - 5).otherwise(b + 5).cast("string"))
+    return t(spark, d, "orders").select("o_orderkey", out["date_begin"].alias("date_begin"), out["date_end"].alias("date_end"), out["date_begin_bce"].alias("bce"))
+
+
 # ---------------------------------------------------------------- templates
 
 @query("template_induction", r"""
@@ -639,9 +672,9 @@ def pair_swap(spark, d):
 
 
 @query("interchange_top3", """
-WITH x AS (SELECT DISTINCT l_orderkey AS r, p_brand AS b FROM lineitem JOIN part ON l_partkey = p_partkey), c AS (SELECT p.b AS old, q.b AS new, count(*) AS score FROM x p JOIN x q ON p.r = q.r AND p.b <> q.b GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY old ORDER BY score DESC, new) AS rank FROM c WHERE score > 5) SELECT old, new, score, rank FROM r WHERE rank <= 3""")
+WITH x AS (SELECT DISTINCT l_orderkey AS r, replace(p_brand, '#', '') AS b FROM lineitem JOIN part ON l_partkey = p_partkey), c AS (SELECT p.b AS old, q.b AS new, count(*) AS score FROM x p JOIN x q ON p.r = q.r AND NOT contains(p.b, q.b) AND NOT contains(q.b, p.b) GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY old ORDER BY score DESC, new) AS rank FROM c WHERE score > 5) SELECT old, new, score, rank FROM r WHERE rank <= 3""")
 def interchange_top3(spark, d):
-    rows = t(spark, d, "lineitem").join(t(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", F.col("p_brand").alias("brand"))
+    rows = t(spark, d, "lineitem").join(t(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", F.translate("p_brand", "#", "").alias("brand"))
     near = knowledge.cooccurrence(rows, "l_orderkey", "brand", 1, 1)
     brands = rows.select("brand").distinct().select(F.col("brand").alias("object_ID"), F.col("brand").alias("object_name"), F.lit("-").alias("other"), F.array("brand").alias("items"))
     with_object = near.select(F.col("neighbour").alias("term"), F.col("term").alias("neighbour"), "n")
@@ -649,6 +682,27 @@ def interchange_top3(spark, d):
     return inject.interchange_candidates(brands, "items", near, with_object, empty).select("old", "new", "score", "rank")
 
 
+@query("neighbour_error", """
+WITH e AS (SELECT x.n_name AS a, y.n_name AS b FROM nation x JOIN nation y ON x.n_regionkey = y.n_regionkey AND x.n_name <> y.n_name), r AS (SELECT s_suppkey AS object_ID, n_name AS place FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+m AS (SELECT object_ID, b, md5(concat(object_ID, '|', b, '|42')) AS h FROM r JOIN e ON a = place WHERE NOT (contains(lower(place), lower(b)) OR contains(lower(b), lower(place)) OR len(list_intersect(string_split(lower(place), ' '), string_split(lower(b), ' '))) > 0)) SELECT object_ID, min_by(b, h) AS place_error FROM m GROUP BY 1""")
+def neighbour_error(spark, d):
+    n = t(spark, d, "nation")
+    records = t(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("object_ID"), F.col("n_name").alias("place"))
+    return inject.neighbour_error(records, "place", knowledge.siblings(n, "n_name", "n_regionkey"))
+
+
+@query("list_error", "SELECT p_partkey, replace(p_name, ' ', '|') AS terms, 'swapped|' || string_split(p_name, ' ')[2] AS terms_error FROM part")
+def list_error(spark, d):
+    p = t(spark, d, "part").select("p_partkey", F.split("p_name", " ").alias("terms"))
+    picked = p.select("p_partkey", F.col("terms")[0].alias("old"), F.lit("swapped").alias("new"))
+    return inject.list_error(p, "terms", picked, "p_partkey").select("p_partkey", F.array_join("terms", "|").alias("terms"), F.array_join("terms_error", "|").alias("terms_error"))
+
+
+@query("take_quota", "WITH r AS (SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY md5(concat(o_orderkey, '|42')), o_orderkey) AS rn FROM orders) SELECT o_orderkey, o_orderstatus FROM r WHERE rn <= CASE o_orderstatus WHEN 'F' THEN 7 WHEN 'O' THEN 11 ELSE 0 END")
+def take_quota(spark, d):
+    return inject.take_quota(t(spark, d, "orders").select("o_orderkey", "o_orderstatus"), "o_orderstatus", "o_orderkey", {"F": 7, "O": 11})
+
+
 # ---------------------------------------------------------------- evaluation
 
 _CONFUSION = "SELECT {by} count_if(t AND p) AS tp, count_if(NOT t AND p) AS fp, count_if(t AND NOT p) AS fn, count_if(NOT t AND NOT p) AS tn FROM x {group}"
@@ -670,6 +724,12 @@ def recall_by_group(spark, d):
     return evaluate.recall_by(t(spark, d, "labels").join(t(spark, d, "documents").select("doc_id", "source"), "doc_id"), "source", F.col("toxic") == 1, F.col("quality") == 0)
 
 
+@query("recall_by_category", "WITH x AS (SELECT CASE WHEN toxic = 1 THEN 'toxic' END AS c, quality FROM labels UNION ALL SELECT CASE WHEN quality = 0 THEN 'quality' END, quality FROM labels) SELECT c AS category, count(*) AS support, count_if(quality = 0) AS hits, round(count_if(quality = 0) / count(*), 6) AS recall FROM x WHERE c IS NOT NULL GROUP BY 1")
+def recall_by_category(spark, d):
+    rows = t(spark, d, "labels").select(F.when(F.col("toxic") == 1, 1).alias("toxic_error"), F.when(F.col("quality") == 0, 1).alias("quality_error"), "quality")
+    return evaluate.recall_by_category(rows, {"toxic": ["toxic_error"], "quality": ["quality_error"]}, F.col("quality") == 0)
+
+
 @query("multi_pass_or", "SELECT doc_id, quality = 0 OR toxic = 1 AS flagged FROM labels")
 def multi_pass_or(spark, d):
     flags = t(spark, d, "labels").select("doc_id", (F.col("quality") == 0).alias("quality"), (F.col("toxic") == 1).alias("toxic"))
