@@ -90,8 +90,8 @@ class Model:
         return langs, np.where(counts > 0, best, 0.0).tolist()
 
 
-def train(rows: list[tuple[str, str]], epochs: int = 4, seed: int = 7, rate: float = 0.5, passages: int = 2) -> Model:
-    """A model from (text, lang) rows: embeddings and softmax weights by minibatch SGD over passages of 6 to 60 words.
+def train(rows: list[tuple[str, str]], epochs: int = 4, seed: int = 7, rate: float = 0.5, passages: int = 10_000) -> Model:
+    """A model from (text, lang) rows: embeddings and softmax weights by minibatch SGD over about so many passages of 6 to 60 words, as many from each row.
 
     A fifth of the rows is kept apart for the temperature and the limit. One language alone is allowed.
     """
@@ -100,10 +100,10 @@ def train(rows: list[tuple[str, str]], epochs: int = 4, seed: int = 7, rate: flo
     where = {lang: i for i, lang in enumerate(langs)}
     order = rng.permutation(len(rows)).tolist()
     kept = set(order[: len(rows) // 5]) if len(rows) >= 20 else set()
-    parts, ys = [], []
+    parts, ys, each = [], [], -(-passages // max(1, len(rows)))
     for i, (text, lang) in enumerate(rows):
         words = text.split()
-        for _ in range(passages if i not in kept and words else 0):
+        for _ in range(each if i not in kept and words else 0):
             n = int(rng.integers(6, 61))
             at = int(rng.integers(0, max(1, len(words) - n + 1)))
             parts.append(" ".join(words[at : at + n]))
