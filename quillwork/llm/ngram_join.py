@@ -12,7 +12,8 @@ A document's set holds its distinct 5-word shingles as 64-bit hashes. Steps:
    is kept as a list; shingles that the sketch shows to be very common are also salted.
 4. Pairs with enough shared prefix shingles, and the stars, are verified exactly on the texts.
 5. In the lists only sets of different components can still matter. More stars shrink these, then all
-   remaining pairs are counted and verified. No pair is left out, and a group of near copies costs a star.
+   remaining pairs with enough shingles behind a shared one are verified. No pair is left out, and a group of
+   near copies costs a star.
 
 Null ids can't be named by a component: such rows link with nothing and their component is null. Empty and
 null texts have an empty set, link with nothing and are their own component. Repeated ids and rows are kept.
@@ -44,10 +45,12 @@ RANGE_ROWS = 500_000
 SMALL = 4
 #: Rounds of stars before the remaining pairs of the lists are counted one by one.
 STAR_ROUNDS = 3
+#: Lists whose open entries are more than this on average are first shrunk by more stars.
+LONG_LIST = 4_000
 #: Buckets that one row of sketch counts holds.
 CHUNK = 1 << 14
 
-_ROW = np.dtype([("t", "<u8"), ("s", "<i8"), ("n", "<i4"), ("l", "u1")])
+_ROW = np.dtype([("t", "<u8"), ("s", "<i8"), ("n", "<i4"), ("r", "<i4"), ("l", "u1")])
 
 
 def _ceil_share(n: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -119,8 +122,8 @@ def count_ranks(counts: np.ndarray) -> np.ndarray:
     return np.minimum(np.searchsorted(np.unique(counts), counts), (1 << 16) - 1).astype(np.uint16)
 
 
-def prefixes(hashes: np.ndarray, rows: np.ndarray, n_rows: int, ranks: np.ndarray, guess: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(index of each prefix shingle, its row's set size by row, its row's l by row), prefix shingles sorted by row."""
+def prefixes(hashes: np.ndarray, rows: np.ndarray, n_rows: int, ranks: np.ndarray, guess: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(index of each prefix shingle, how many shingles of its row come from it on, set size by row, l by row), prefix shingles sorted by row."""
     n = np.bincount(rows, minlength=n_rows).astype(np.int64)
     bucket = (hashes & np.uint64(len(ranks) - 1)).astype(np.int64)
     # the hashes of a row are sorted, so ties of the count stay in the order of their hash
@@ -138,7 +141,8 @@ def prefixes(hashes: np.ndarray, rows: np.ndarray, n_rows: int, ranks: np.ndarra
         best[better], chosen[better] = cost[better], matches
     size = np.minimum(n, base + chosen)
     place = np.arange(len(order)) - np.repeat(first, n)
-    return order[place < np.repeat(size, n)], n, chosen
+    kept = place < np.repeat(size, n)
+    return order[kept], (np.repeat(n, n) - place)[kept], n, chosen
 
 
 def _deal(size: int, counts: np.ndarray, ranges: int, hot: float):
@@ -170,10 +174,10 @@ def _deal(size: int, counts: np.ndarray, ranges: int, hot: float):
             hashes, rows = hashes[fresh], rows[fresh]
             if not len(hashes):
                 continue
-            at, n, matches = prefixes(hashes, rows, block.num_rows, ranks, guess)
+            at, left, n, matches = prefixes(hashes, rows, block.num_rows, ranks, guess)
             data = np.empty(len(at), dtype=_ROW)
             own = rows[at]
-            data["t"], data["s"], data["n"], data["l"] = hashes[at], sig[own], n[own], matches[own]
+            data["t"], data["s"], data["n"], data["r"], data["l"] = hashes[at], sig[own], n[own], left, matches[own]
             kept.append(data)
             waiting += len(data)
             if waiting > 400_000:
@@ -189,7 +193,7 @@ PAIRS = "kind int, a long, b long, k int, l int"
 
 
 def _pairs(counts: np.ndarray, hot: float):
-    """Worker for one range: kind 0: pair (a, b) sharing k shingles, needing l; kind 1: star pair; kind 2: list entry (shingle a, set b, size k, its l)."""
+    """Worker for one range: kind 0: pair (a, b) sharing k shingles, needing l; kind 1: star pair; kind 2: list entry (shingle a, set b, its size k, how many of its shingles come from this one on in l)."""
     schema = arrow_schema(PAIRS)
     guess = estimates(counts)
 
@@ -223,12 +227,12 @@ def _pairs(counts: np.ndarray, hot: float):
             group = np.repeat(np.arange(len(large)), sizes[large])
             listed = data[np.concatenate([np.arange(first[i], first[i] + sizes[i]) for i in large])]
             begin = np.cumsum(sizes[large]) - sizes[large]
-            yield from rows_of(2, listed["t"].view(np.int64), listed["s"], listed["n"], listed["l"])
+            yield from rows_of(2, listed["t"].view(np.int64), listed["s"], listed["n"], listed["r"])
             rank = mix(listed["s"].view(np.uint64))
             least = np.minimum.reduceat(rank, begin)
             hub = np.flatnonzero(rank == least[group])
             hub = hub[np.concatenate([[True], group[hub][1:] != group[hub][:-1]])][group]
-            ok = (listed["s"][hub] != listed["s"]) & _near(listed["n"][hub], listed["n"])
+            ok = (listed["s"][hub] != listed["s"]) & _near(listed["n"][hub], listed["n"]) & _enough(listed[hub], listed)
             a, b = listed["s"][hub][ok], listed["s"][ok]
             pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
             yield from rows_of(1, pair[:, 0], pair[:, 1], np.zeros(len(pair)), np.zeros(len(pair)))
@@ -240,6 +244,11 @@ def _near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.minimum(x, y).astype(np.int64) * DEN >= np.maximum(x, y).astype(np.int64) * NUM
 
 
+def _enough(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether the shingles from this one on could be as many as two similar sets share: at least NUM / (NUM + DEN) of both sizes together."""
+    return np.minimum(x["r"], y["r"]).astype(np.int64) * (NUM + DEN) >= (x["n"].astype(np.int64) + y["n"]) * NUM
+
+
 def _verify(size: int):
     """Worker: the pairs (a, b) of texts whose sets are similar enough."""
 
@@ -285,8 +294,11 @@ def classes(docs: DataFrame, scratch: Scratch | None = None, range_rows: int = R
     found = scratch.write(dealt.groupBy("r").applyInArrow(_pairs(counts, hot), PAIRS), "kind")
     small = found.where("kind = 0").groupBy("a", "b").agg(F.sum("k").alias("k"), F.min("l").alias("l"))
     stars = found.where("kind = 1").select("a", "b")
-    lists = found.where("kind = 2").select(F.col("a").alias("shingle"), F.col("b").alias("sig"), F.col("k").alias("n"), "l")
-    tested = scratch.write(small.where("k >= l").select("a", "b").unionByName(stars).distinct())
+    lists = found.where("kind = 2").select(F.col("a").alias("shingle"), F.col("b").alias("sig"), F.col("k").alias("n"), F.col("l").alias("left"))
+    # a pair whose count falls short may share more in the lists, which tell no counts: it is verified if both its sets are listed
+    listed = lists.select("sig").distinct()
+    short = small.where("k < l").select("a", "b").join(listed.withColumnRenamed("sig", "a"), "a", "left_semi").join(listed.withColumnRenamed("sig", "b"), "b", "left_semi")
+    tested = scratch.write(small.where("k >= l").select("a", "b").unionByName(stars).unionByName(short.select("a", "b")).distinct())
 
     texts = scratch.write(_needed_texts(docs, reps, small.select(F.explode(F.array("a", "b")).alias("sig")).unionByName(lists.select("sig")).distinct(), n_docs))
 
@@ -305,13 +317,14 @@ def classes(docs: DataFrame, scratch: Scratch | None = None, range_rows: int = R
         if not load[0]:
             break
         rest = rest.join(open_.select("shingle"), "shingle", "left_semi")
-        last = turn == STAR_ROUNDS or load[0] <= 8 * load[1] + 4 * n_docs
+        last = turn == STAR_ROUNDS or load[0] <= LONG_LIST * load[1] / 2 + 4 * n_docs
         fits = F.least("a.n", "b.n") * DEN >= F.greatest("a.n", "b.n") * NUM
         pair = [F.least("a.sig", "b.sig").alias("a"), F.greatest("a.sig", "b.sig").alias("b")]
         rest = scratch.write(rest)
         if last:
-            counted = rest.alias("a").join(rest.alias("b"), "shingle").where((F.col("a.component") < F.col("b.component")) & fits).select(*pair, F.least("a.l", "b.l").alias("l"), F.lit(1).alias("k"))
-            wanted = counted.unionByName(small.select("a", "b", "l", "k")).groupBy("a", "b").agg(F.sum("k").alias("k"), F.min("l").alias("l")).where("k >= l").select("a", "b")
+            # the first shingle that two similar sets share has enough of both behind it
+            enough = F.least("a.left", "b.left") * (NUM + DEN) >= (F.col("a.n") + F.col("b.n")) * NUM
+            wanted = rest.alias("a").join(rest.alias("b"), "shingle").where((F.col("a.component") < F.col("b.component")) & fits & enough).select(*pair).distinct()
         else:
             rank = F.xxhash64("sig", F.lit(turn))
             hubs = scratch.write(rest.groupBy("shingle").agg(F.min(F.struct(rank.alias("rank"), "sig", "n", "component")).alias("hub")).select("shingle", "hub.*"))
