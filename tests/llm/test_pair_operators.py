@@ -72,6 +72,7 @@ def hard_rows(n=400, seed=4):
 @pytest.mark.parametrize(("range_rows", "hot", "rounds"), [(500_000, None, 4), (300, 3.0, 4), (2_000, 50.0, 0)])
 def test_ngram_join_is_brute_force(spark, monkeypatch, range_rows, hot, rounds):
     monkeypatch.setattr(ngram_join, "STAR_ROUNDS", rounds)
+    monkeypatch.setattr(ngram_join, "LONG_LIST", 4_000 if hot is None else 0)
     rows = hard_rows()
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.classes(spark.createDataFrame(rows, "doc_id long, text string"), range_rows=range_rows, hot=hot).collect()}
     assert got == brute_classes(rows)
