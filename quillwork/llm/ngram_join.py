@@ -227,7 +227,12 @@ def _pairs(counts: np.ndarray, hot: float):
             group = np.repeat(np.arange(len(large)), sizes[large])
             listed = data[np.concatenate([np.arange(first[i], first[i] + sizes[i]) for i in large])]
             begin = np.cumsum(sizes[large]) - sizes[large]
-            yield from rows_of(2, listed["t"].view(np.int64), listed["s"], listed["n"], listed["r"])
+            # an entry that has too few shingles left for even the smallest set of its list has no partner there
+            least_n = np.minimum.reduceat(listed["n"], begin)[group].astype(np.int64)
+            useful = salted[large][group] | (listed["r"].astype(np.int64) * (NUM + DEN) >= (listed["n"] + least_n) * NUM)
+            useful &= salted[large][group] | (np.bincount(group[useful], minlength=len(large)) > 1)[group]
+            entries = listed[useful]
+            yield from rows_of(2, entries["t"].view(np.int64), entries["s"], entries["n"], entries["r"])
             rank = mix(listed["s"].view(np.uint64))
             least = np.minimum.reduceat(rank, begin)
             hub = np.flatnonzero(rank == least[group])
