@@ -193,7 +193,7 @@ PAIRS = "kind int, a long, b long, k int, l int"
 
 
 def _pairs(counts: np.ndarray, hot: float):
-    """Worker for one range: kind 0: pair (a, b) sharing k shingles, needing l; kind 1: star pair; kind 2: list entry (shingle a, set b, its size k, how many of its shingles come from this one on in l)."""
+    """Worker for one range: kind 0: pair (a, b) sharing k shingles, needing l; kind 1: star pair; kind 2: list entry (shingle a, set b, its size k, how many of its shingles come from this one on in l); kind 3: set a has k entries in the range's lists before any is left out, for sets whose pairs can need more than one."""
     schema = arrow_schema(PAIRS)
     guess = estimates(counts)
 
@@ -227,6 +227,8 @@ def _pairs(counts: np.ndarray, hot: float):
             group = np.repeat(np.arange(len(large)), sizes[large])
             listed = data[np.concatenate([np.arange(first[i], first[i] + sizes[i]) for i in large])]
             begin = np.cumsum(sizes[large]) - sizes[large]
+            several, held = np.unique(listed["s"][listed["l"] > 1], return_counts=True)
+            yield from rows_of(3, several, np.zeros(len(several)), held, np.zeros(len(several)))
             # an entry that has too few shingles left for even the smallest set of its list has no partner there
             least_n = np.minimum.reduceat(listed["n"], begin)[group].astype(np.int64)
             useful = salted[large][group] | (listed["r"].astype(np.int64) * (NUM + DEN) >= (listed["n"] + least_n) * NUM)
@@ -300,9 +302,11 @@ def classes(docs: DataFrame, scratch: Scratch | None = None, range_rows: int = R
     small = found.where("kind = 0").groupBy("a", "b").agg(F.sum("k").alias("k"), F.min("l").alias("l"))
     stars = found.where("kind = 1").select("a", "b")
     lists = found.where("kind = 2").select(F.col("a").alias("shingle"), F.col("b").alias("sig"), F.col("k").alias("n"), F.col("l").alias("left"))
-    # a pair whose count falls short may share more in the lists, which tell no counts: it is verified if both its sets are listed
-    listed = lists.select("sig").distinct()
-    short = small.where("k < l").select("a", "b").join(listed.withColumnRenamed("sig", "a"), "a", "left_semi").join(listed.withColumnRenamed("sig", "b"), "b", "left_semi")
+    # a pair whose count falls short may share more in the lists, even by entries left out there, which are useful to a pair's first shared
+    # shingle only: it is verified if both its sets had entries enough to make up for what is missing
+    held = found.where("kind = 3").groupBy(F.col("a").alias("sig")).agg(F.sum("k").alias("held"))
+    side = lambda c: held.select(F.col("sig").alias(c), F.col("held").alias(f"held_{c}"))
+    short = small.where("k < l").join(side("a"), "a").join(side("b"), "b").where(F.col("k") + F.least("held_a", "held_b") >= F.col("l"))
     tested = scratch.write(small.where("k >= l").select("a", "b").unionByName(stars).unionByName(short.select("a", "b")).distinct())
 
     texts = scratch.write(_needed_texts(docs, reps, small.select(F.explode(F.array("a", "b")).alias("sig")).unionByName(lists.select("sig")).distinct(), n_docs))

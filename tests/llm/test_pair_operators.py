@@ -78,6 +78,24 @@ def test_ngram_join_is_brute_force(spark, monkeypatch, range_rows, hot, rounds):
     assert got == brute_classes(rows)
 
 
+def template_rows():
+    """Texts that share one shingle with two others, in a short list, and all further ones with everybody, in lists whose entries have few shingles left."""
+    return [(i, f"p{i % 2} {' '.join(f'm{k}' for k in range(2, 11))} s{i}") for i in range(6)]
+
+
+def test_ngram_join_short_lists_of_templates(spark):
+    r = random.Random(11)
+    rows = template_rows()
+    for t in range(30):  # more of the kind, with other lengths and groups, apart by their words
+        m = [f"t{t}m{k}" for k in range(r.randint(7, 30))]
+        rows += [(len(rows) + i, " ".join([f"t{t}p{i % 3}", *m, f"t{t}s{i}"])) for i in range(r.randint(5, 12))]
+    for some in (template_rows(), rows):
+        want = brute_classes(some)
+        assert len({c for _, c in want.values()}) < len(some)
+        got = {x.doc_id: (x.n_shingles, x.component_id) for x in ngram_join.classes(spark.createDataFrame(some, "doc_id long, text string")).collect()}
+        assert got == want
+
+
 def test_ngram_join_odd_inputs(spark):
     rows = [(1, None, "x"), (2, "", "x"), (3, "A b", "x"), (4, "a  B", "x"), (5, "a b c", "x"), (7, "w " * 9, "y"), (7, "w " * 9, "y"), (None, "a b", "z"), (8, "long text here " * 20_000, "q")]
     df = spark.createDataFrame(rows, "doc_id long, text string, sig string")
