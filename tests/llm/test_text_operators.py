@@ -246,6 +246,26 @@ def test_pseudo_likelihood_is_the_sum_over_tokens(spark, odd, empty):
     assert lm_score.score_documents(empty, lm_score.fit(empty)).count() == 0
 
 
+def test_rare_words_and_documents_beyond_the_sample_count(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    from quillwork.llm.common import word_hashes
+
+    rows = [(i, f"{'often ' * 8}less{i % 3} word{i % 7} once{i}") for i in range(90)] + [(90 + i, "often less0") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = lm_score.fit(docs, words=1, buckets=1, sample_docs=1)
+    hashes = lambda *ws: word_hashes(pa.RecordBatch.from_arrays([pa.array(ws)], names=["text"]))[0]
+    seen = hashes(*(f"less{i}" for i in range(3)), *(f"word{i}" for i in range(7)), *(f"once{i}" for i in range(90)))
+    shares = np.exp(model.shares.of(seen))
+    assert abs(shares.sum() - 1) < 1e-9 and abs(shares[0] - 230 / 470) < 1e-9 and abs(shares[-1] - 1 / 470) < 1e-9
+    a, b = (lm_score.score_documents(spark.createDataFrame([(1, t)], "doc_id long, text string"), model).first().log_prob for t in ("often less0", "often once1"))
+    assert abs(a - b - np.log(230)) < 1e-6, "words of one bucket differ by their counts"
+    before = lm_score.build([b"often"], ["other words"], 1)
+    after = lm_score.train_on_all(docs, lm_score.build([b"often"], ["other words"], 1))
+    assert np.abs(after.out - before.out).max() > 0, "all documents train the network"
+
+
 # ---------------------------------------------------------------- html
 
 PAGES = [
