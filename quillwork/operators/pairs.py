@@ -99,18 +99,20 @@ def continent_pairs(primary: DataFrame) -> DataFrame:
     return primary.alias("x").join(primary.alias("y"), "continent").where(F.col("x.culture") < F.col("y.culture")).select(F.col("x.culture").alias("a"), F.col("y.culture").alias("b"))
 
 
-def disjoint_matching(edges: DataFrame, checkpoint=None, most_rounds: int = 100) -> DataFrame:
+def disjoint_matching(edges: DataFrame, checkpoint=None, most_rounds: int | None = None) -> DataFrame:
     """Edges (id_a, id_b, score) such that every id is used once: the result of taking edges by (score desc, id_a, id_b).
 
     Each round keeps the edges that are first for both their ids and drops all that touch them. checkpoint is
-    how a round's rest is cut from its lineage; by default DataFrame.checkpoint.
+    how a round's rest is cut from its lineage; by default DataFrame.checkpoint. Every round settles an edge at least,
+    so the rounds end; if more than most_rounds are needed, it is an error.
     """
     cut = checkpoint or (lambda df: df.checkpoint())
     rest = cut(edges.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"), "score").where("id_a <> id_b").groupBy("id_a", "id_b").agg(F.max("score").alias("score")))
-    out = None
-    for _ in range(most_rounds):
-        if rest.isEmpty():
-            break
+    out, rounds = None, 0
+    while not rest.isEmpty():
+        if rounds == most_rounds:
+            raise RuntimeError("disjoint_matching did not settle")
+        rounds += 1
         rank = F.struct((-F.col("score")).alias("s"), "id_a", "id_b")
         ends = rest.select(F.explode(F.array("id_a", "id_b")).alias("id"), rank.alias("rank"))
         first = ends.groupBy("id").agg(F.min("rank").alias("rank"))

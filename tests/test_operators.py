@@ -6,6 +6,7 @@ import io
 import json
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from quillwork.functions import lists, text
@@ -202,3 +203,10 @@ def test_updates_keep_what_is_there(spark):
     old = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
     new = spark.createDataFrame([(2, "b")], "k int, v string")
     assert sorted(map(tuple, sinks.updated(old, new, "k", ["v"]).collect())) == [(1, "a"), (2, "b")]
+
+
+def test_disjoint_matching_never_leaves_edges_silently(spark):
+    path = spark.createDataFrame([(i, i + 1, 1.0) for i in range(5)], "id_a long, id_b long, score double")
+    assert sorted((r.id_a, r.id_b) for r in pairs.disjoint_matching(path, sinks.cutter(spark)).collect()) == [(0, 1), (2, 3), (4, 5)]
+    with pytest.raises(RuntimeError):
+        pairs.disjoint_matching(path, sinks.cutter(spark), most_rounds=1)
