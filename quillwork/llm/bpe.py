@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_blocks, texts
+from .common import span_hashes, text_blocks, texts
 
 #: Text bytes that one batch of merge rounds handles.
 BATCH_BYTES = 2 << 20
@@ -56,24 +56,6 @@ def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
     return flat[at]
 
 
-_RNG = np.random.default_rng(11)
-_BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
-_P = np.uint64(0x9E3779B97F4A7C15 | 1)
-_P_INV = np.uint64(pow(int(_P), -1, 1 << 64))
-
-
-def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    power = np.full(len(data), _P, dtype=np.uint64)
-    power[:1] = 1
-    np.multiply.accumulate(power, out=power)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[data] * power, out=sums[1:])
-    inverse = np.full(len(data), _P_INV, dtype=np.uint64)
-    inverse[:1] = 1
-    np.multiply.accumulate(inverse, out=inverse)
-    return (sums[ends] - sums[starts]) * inverse[starts] * np.uint64(0xD6E8FEB86659FD93) + (ends - starts).astype(np.uint64)
-
-
 class Tokenizer:
     """An encoder and decoder from the content of a vocabulary file."""
 
@@ -257,7 +239,7 @@ class Tokenizer:
             flat, per_part = np.zeros(0, np.int64), np.zeros(len(parts), np.int64)
         else:
             data, starts, stops, part = self._words(parts)
-            hashes = _word_hashes(data, starts, stops)
+            hashes = span_hashes(data, starts, stops)
             words, which, back = np.unique(hashes, return_index=True, return_inverse=True)
             pool, begins, counts = self._known(words, data, starts[which], (stops - starts)[which])
             sizes = counts[back]

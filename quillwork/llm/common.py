@@ -104,26 +104,13 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
 # ---------------------------------------------------------------- hashing of words and shingles
 
 _RNG = np.random.default_rng(20240607)
-_BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
-_BYTE[65:91] = _BYTE[97:123]  # A-Z count as a-z
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_P = np.uint64(0x9E3779B97F4A7C15)
-_P_INV = np.uint64(pow(int(_P), -1, 1 << 64))
-_POWERS: dict[str, np.ndarray] = {}
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    key = str(base)
-    if key not in _POWERS or len(_POWERS[key]) < n:
-        size = max(n, 1 << 16)
-        out = np.full(size, base, dtype=np.uint64)
-        out[0] = 1
-        kept = np.multiply.accumulate(out)
-        if size > 1 << 22:
-            return kept[:n]
-        _POWERS[key] = kept
-    return _POWERS[key][:n]
+#: A value for each place in a span and byte there, one row of 256 a place; places beyond the table get theirs from mix().
+_PLACES = 64
+_AT = _RNG.integers(0, 1 << 64, (_PLACES, 256), dtype=np.uint64)
+_AT_FOLDED = _AT.copy()
+_AT_FOLDED[:, 65:91] = _AT[:, 97:123]  # A-Z count as a-z
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -137,6 +124,33 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = False) -> np.ndarray:
+    """64-bit hashes of the byte spans, which ascend and don't overlap; none may be empty. fold: A-Z count as a-z.
+
+    A span's hash is the sum of one random value for each place and byte there, mixed with its length, so that
+    no rule of letters (as in words built by repetition) makes two spans alike.
+    """
+    sizes = ends - starts
+    total = int(sizes.sum())
+    if not total:
+        return np.zeros(len(starts), np.uint64)
+    first = np.cumsum(sizes) - sizes
+    if total == len(data):
+        own = data
+        place = np.arange(total) - np.repeat(first, sizes)
+    else:
+        place = np.arange(total) - np.repeat(first, sizes)
+        own = data[place + np.repeat(starts, sizes)]
+    near = _AT_FOLDED if fold else _AT
+    if int(sizes.max()) <= _PLACES:
+        values = near.ravel()[(place << 8) | own]
+    else:
+        values = near.ravel()[(np.minimum(place, _PLACES - 1) << 8) | own]
+        far = np.flatnonzero(place >= _PLACES)
+        values[far] = mix(near[0][own[far]] ^ (place[far].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+    return mix(np.add.reduceat(values, first) + sizes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 def by_row(values: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """The order by row and value. Few rows are sorted by radix behind one sort of the values."""
     order = np.argsort(values)
@@ -154,9 +168,7 @@ def word_hashes(batch: pa.RecordBatch, column: str = "text") -> tuple[np.ndarray
     space = _SPACE[data]
     edge = np.diff(space.astype(np.int8), prepend=np.int8(1), append=np.int8(1))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[data] * _powers(_P, len(data)), out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * _powers(_P_INV, len(data))[starts] + (ends - starts).astype(np.uint64))
+    hashes = span_hashes(data, starts, ends, fold=True)
     return hashes, np.searchsorted(ends_of_rows, starts, side="right")
 
 

@@ -284,3 +284,17 @@ def test_html(spark):
 def test_html_tree_fits_its_table():
     tree = html_text.default_tree()
     assert sum(tree.main(tuple(map(float, r[:-1]))) == bool(r[-1]) for r in html_text.LABELLED) >= 0.95 * len(html_text.LABELLED)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_bpe_of_words_of_one_rule(name):
+    """Thue-Morse words and their complements, which a polynomial hash modulo a power of two takes for equal."""
+    from tokenizers import Tokenizer as Library
+
+    word = "a"
+    for _ in range(11):
+        word += word.translate(str.maketrans("ab", "ba"))
+    texts = [word, word.translate(str.maketrans("ab", "ba")), f"{word} x {word[::-1]}"]
+    library, own = Library.from_file(queries.tokenizer_path(name)), bpe.Tokenizer(bpe.vocabulary_content(queries.tokenizer_path(name)))
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] != want[1] and [x.tolist() for x in own.encode_batch(texts)] == want
