@@ -21,12 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one is set only where the session names none."""
+    """The folder that driver and executors share. A session on one machine that names none gets a local one; on a cluster that is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         set_already = spark.sparkContext._jsc.sc().getCheckpointDir()
         if set_already.isDefined():
             return set_already.get()
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="quillwork-")
         spark.sparkContext.setCheckpointDir(folder)
         folder = spark.sparkContext._jsc.sc().getCheckpointDir().get()
@@ -56,13 +58,13 @@ class Scratch:
         paths = {df._quillwork_path for df in kept}
         for k in range(self.n):
             if f"{self.root}/{k}" not in paths:
-                self._delete(f"{self.root}/{k}")
+                self.delete(f"{self.root}/{k}")
 
     def drop(self, df: DataFrame) -> None:
         """Remove one written table that no later step reads."""
-        self._delete(df._quillwork_path)
+        self.delete(df._quillwork_path)
 
-    def _delete(self, where: str) -> None:
+    def delete(self, where: str) -> None:
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -206,14 +208,43 @@ def shingles(batch: pa.RecordBatch, size: int = 5, column: str = "text") -> tupl
 
 # ---------------------------------------------------------------- connected components
 
-def components(spark: SparkSession, scratch: Scratch, edges: DataFrame, most: int = 60) -> DataFrame:
+#: Edge tables of at most so many rows (16 bytes each) are solved by one task; larger ones by rounds of joins.
+LOCAL_EDGES = 1 << 20
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Worker: (id, component) of all edges (a, b) that it gets, by labels that sink along edges and jump to their label's label."""
+    got = [(b.column("a").to_numpy(), b.column("b").to_numpy()) for b in batches]
+    if not got:
+        return
+    a, b = (np.concatenate(side) for side in zip(*got, strict=True))
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    label = np.arange(len(ids))
+    while True:
+        low, high = np.minimum(label[x], label[y]), np.maximum(label[x], label[y])
+        apart = low != high
+        if not apart.any():
+            break
+        np.minimum.at(label, high[apart], low[apart])
+        while (label[label] != label).any():
+            label = label[label]
+    for lo in range(0, len(ids), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(ids[lo : lo + 100_000]), pa.array(ids[label[lo : lo + 100_000]])], names=["id", "component"])
+
+
+def components(spark: SparkSession, scratch: Scratch, edges: DataFrame, most: int = 60, local_edges: int = LOCAL_EDGES) -> DataFrame:
     """(id, component) of every id in edges (a, b): component is the smallest id reachable.
 
-    Alternates large-star and small-star steps over a written edge table. Each step is one minimum per
-    node and one join; the edge count never grows, and nothing is gathered on the driver but two sums.
+    An edge table of a bounded size is solved in one task. A larger one alternates large-star and small-star
+    steps over a written edge table, each step one minimum per node and one join, until all edges are stars;
+    the edge count never grows.
     """
     now = scratch.write(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    seen = None
+    if now.count() <= local_edges:
+        out = scratch.write(now.coalesce(1).mapInArrow(_forest, "id long, component long"))
+        scratch.drop(now)
+        return out
     for _ in range(most):
         both = now.select("a", "b").unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -221,14 +252,13 @@ def components(spark: SparkSession, scratch: Scratch, edges: DataFrame, most: in
         large = large.distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        small = small.select("e.a", "e.b").where("a <> b").distinct()
-        after = scratch.write(small)
-        print_of = after.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        after = scratch.write(small.select("e.a", "e.b").where("a <> b").distinct())
         scratch.drop(now)
         now = after
-        if print_of == seen or print_of[0] == 0:
+        ends = now.select(F.col("a").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(now.select(F.col("b").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        # done when every id has one edge up, or only edges from below
+        if ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up = 1 and down = 1").isEmpty():
             break
-        seen = print_of
     else:
         raise RuntimeError("components did not settle")
     tops = now.select(F.col("b").alias("id")).distinct().select("id", F.col("id").alias("component"))

@@ -2,18 +2,23 @@
 
 A document's set holds its distinct 5-word shingles as 64-bit hashes. Steps:
 
-1. One pass gives each document's set size and a signature of its set, and a sketch of shingle counts over
-   all documents. Equal sets are one class from here on.
+1. One pass gives each document's set size, a signature of its set and a mark (a bitmap of the set's size, in
+   which each shingle flips one bit), and a sketch of shingle counts over all documents. Equal sets are one
+   class from here on.
 2. Shingles are ordered by sketch count, rare ones first. A set of n shingles that must share a = ceil(0.75 n)
    keeps a prefix of n - a + l of them; l is 1 to 4, whichever the estimated candidate cost of its prefix
-   favours. Two sets can only match if they share at least the smaller l of prefix shingles.
+   favours. Two sets can only match if they share at least the smaller l of prefix shingles. Any order is
+   right; where the sketch, whose size is bounded, is crowded, it only tells the frequent shingles apart.
 3. Prefix shingles are dealt by hash to ranges in packed blocks. A shingle that only one set has is dropped.
    Sets that share a rare shingle give pairs. A shingle of more sets gives a star (each set with one hub) and
    is kept as a list; shingles that the sketch shows to be very common are also salted.
-4. Pairs with enough shared prefix shingles, and the stars, are verified exactly on the texts.
-5. In the lists only sets of different components can still matter. More stars shrink these, then all
-   remaining pairs with enough shingles behind a shared one are verified. No pair is left out, and a group of
-   near copies costs a star.
+4. Candidates are settled: two marks differ in at most as many bits as the sets differ in shingles, so marks
+   that differ too much rule a pair out exactly. Of the pairs left, each set has only its few first partners
+   verified on the texts; the pairs that the links found so far have joined are done, the others go on.
+5. In the lists only sets of different components can still matter. A list with many such pairs gets a few
+   hubs a round, as long as rounds join its components; the others, and those that rounds don't help, give all
+   remaining pairs with enough shingles behind the shared one. No pair is left out, and a group of near copies
+   costs its stars.
 
 Null ids can't be named by a component: such rows link with nothing and their component is null. Empty and
 null texts have an empty set, link with nothing and are their own component. Repeated ids and rows are kept.
@@ -22,12 +27,13 @@ null texts have an empty set, link with nothing and are their own component. Rep
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .common import Scratch, arrow_schema, components, mix, shingles, text_blocks
@@ -41,12 +47,16 @@ MOST_MATCHES = 4
 VERIFY_COST = 64.0
 #: Prefix rows that one range holds, about.
 RANGE_ROWS = 500_000
-#: A list longer than this is handled by stars first.
+#: A list longer than this gives stars first, not pairs.
 SMALL = 4
-#: Rounds of stars before the remaining pairs of the lists are counted one by one.
-STAR_ROUNDS = 3
-#: Lists whose open entries are more than this on average are first shrunk by more stars.
-LONG_LIST = 4_000
+#: Hubs of a list in one round, and the most remaining pairs for each of a list's sets for which all are tested at once.
+HUBS, FEW = 4, 4
+#: Candidates for each set that are verified at once.
+MANY = 4
+#: Remaining pairs of all lists, for each document, that are tested at once.
+EACH = 2
+#: A further round of hubs must have left at most this share of a list's remaining pairs.
+PROGRESS = 0.6
 #: Buckets that one row of sketch counts holds.
 CHUNK = 1 << 14
 
@@ -67,9 +77,38 @@ def signatures(hashes: np.ndarray, rows: np.ndarray, n_rows: int) -> tuple[np.nd
     return n, mix(total + n.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
+def marks(hashes: np.ndarray, rows: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """A bitmap of each row's set, of 3 to 6 bits a shingle: a bit is set if an odd number of shingles fall on it.
+
+    Its size is a power of two and a shingle's place its hash modulo that, so a mark folds to half its size by
+    one exclusive or.
+    """
+    size = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(3 * n, 1))).astype(np.int64))
+    first = np.concatenate([[0], np.cumsum(size)])
+    at = first[rows] + (hashes & (size[rows] - 1).astype(np.uint64)).astype(np.int64)
+    packed = np.packbits((np.bincount(at, minlength=int(first[-1])) & 1).astype(np.uint8)).tobytes()
+    cuts = (first >> 3).tolist()
+    return [packed[lo:hi] for lo, hi in zip(cuts, cuts[1:], strict=False)]
+
+
+def differ_at_least(one: bytes, two: bytes) -> int:
+    """A lower bound of the number of shingles that only one of two marked sets has."""
+    if len(one) > len(two):
+        one, two = two, one
+    y = int.from_bytes(two, "big")
+    # the places of a half are those of the whole modulo its size, and the first byte has the first places
+    for k in range((len(two) // len(one)).bit_length() - 1):
+        half = (len(two) * 8) >> (k + 1)
+        y = (y >> half) ^ (y & ((1 << half) - 1))
+    return (int.from_bytes(one, "big") ^ y).bit_count()
+
+
+MEASURED = "kind int, a long, b long, n long, data binary"
+
+
 def _measure(bits: int, size: int):
-    """Worker: a row (0, doc_id, signature, size) for each document, and the task's shingle counts as rows (1, chunk of buckets, counts)."""
-    schema = arrow_schema("kind int, a long, b long, n long, counts binary")
+    """Worker: a row (0, doc_id, signature, size, mark or null) for each document, and the task's shingle counts as rows (1, chunk of buckets, counts)."""
+    schema = arrow_schema(MEASURED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << bits, dtype=np.uint32)
@@ -77,9 +116,12 @@ def _measure(bits: int, size: int):
         for block in text_blocks(batches):
             hashes, rows = shingles(block, size)
             n, sig = signatures(hashes, rows, block.num_rows)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), block.column("doc_id"), pa.array(sig), pa.array(n), pa.nulls(len(n), pa.binary())], schema=schema)
             fresh = _first_seen(sig, n, seen)
-            np.add.at(counts, (hashes[fresh[rows]] & np.uint64((1 << bits) - 1)).astype(np.int64), 1)
+            kept = fresh[rows]
+            hashes, rows = hashes[kept], rows[kept]
+            data = [m if new else None for m, new in zip(marks(hashes, rows, np.where(fresh, n, 0)), fresh.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), block.column("doc_id"), pa.array(sig), pa.array(n), pa.array(data, pa.binary())], schema=schema)
+            np.add.at(counts, (hashes & np.uint64((1 << bits) - 1)).astype(np.int64), 1)
         for chunk, lo in enumerate(range(0, 1 << bits, CHUNK)):
             part = counts[lo : lo + CHUNK]
             if part.any():
@@ -92,10 +134,10 @@ def _add_up(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
     """Worker: the sum of one chunk's counts over all tasks, batch by batch."""
     total = None
     for b in batches:
-        for x in b.column("counts").to_pylist():
+        for x in b.column("data").to_pylist():
             part = np.frombuffer(x, dtype=np.uint32).astype(np.int64)
             total = part if total is None else total + part
-    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["a", "counts"])
+    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["a", "data"])
 
 
 def _first_seen(sig: np.ndarray, n: np.ndarray, seen: set[int], bound: int = 500_000) -> np.ndarray:
@@ -193,7 +235,7 @@ PAIRS = "kind int, a long, b long, k int, l int"
 
 
 def _pairs(counts: np.ndarray, hot: float):
-    """Worker for one range: kind 0: pair (a, b) sharing k shingles, needing l; kind 1: star pair; kind 2: list entry (shingle a, set b, its size k, how many of its shingles come from this one on in l); kind 3: set a has k entries in the range's lists before any is left out, for sets whose pairs can need more than one."""
+    """Worker for one range: kind 0: pair (a, b) sharing k shingles, needing l; kind 1: star pair (hub a, set b); kind 2: list entry (shingle a, set b, its size k, how many of its shingles come from this one on in l); kind 3: set a has k entries in the range's lists before any is left out, for sets whose pairs can need more than one."""
     schema = arrow_schema(PAIRS)
     guess = estimates(counts)
 
@@ -235,13 +277,10 @@ def _pairs(counts: np.ndarray, hot: float):
             useful &= salted[large][group] | (np.bincount(group[useful], minlength=len(large)) > 1)[group]
             entries = listed[useful]
             yield from rows_of(2, entries["t"].view(np.int64), entries["s"], entries["n"], entries["r"])
-            rank = mix(listed["s"].view(np.uint64))
-            least = np.minimum.reduceat(rank, begin)
-            hub = np.flatnonzero(rank == least[group])
-            hub = hub[np.concatenate([[True], group[hub][1:] != group[hub][:-1]])][group]
+            # signatures are random numbers, so the least set of a list is the hub of most lists that it is in
+            hub = begin[group]
             ok = (listed["s"][hub] != listed["s"]) & _near(listed["n"][hub], listed["n"]) & _enough(listed[hub], listed)
-            a, b = listed["s"][hub][ok], listed["s"][ok]
-            pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
+            pair = np.unique(np.stack([listed["s"][hub][ok], listed["s"][ok]], 1), axis=0)
             yield from rows_of(1, pair[:, 0], pair[:, 1], np.zeros(len(pair)), np.zeros(len(pair)))
 
     return run
@@ -256,6 +295,16 @@ def _enough(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.minimum(x["r"], y["r"]).astype(np.int64) * (NUM + DEN) >= (x["n"].astype(np.int64) + y["n"]) * NUM
 
 
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Worker: the pairs (a, b) whose marks don't rule out that the sets are similar enough."""
+    for batch in batches:
+        n = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+        most = (n - 2 * _ceil_share(n, NUM, NUM + DEN)).tolist()
+        ok = [differ_at_least(x, y) <= k for x, y, k in zip(batch.column("mark_a").to_pylist(), batch.column("mark_b").to_pylist(), most, strict=True)]
+        kept = batch.filter(pa.array(ok, pa.bool_()))
+        yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], names=["a", "b"])
+
+
 def _verify(size: int):
     """Worker: the pairs (a, b) of texts whose sets are similar enough."""
 
@@ -278,125 +327,214 @@ def _verify(size: int):
     return run
 
 
-def classes(docs: DataFrame, scratch: Scratch | None = None, range_rows: int = RANGE_ROWS, hot: float | None = None) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of docs. Only bounded tables (the sketch, a bit filter, counts) reach the driver."""
-    spark = docs.sparkSession
-    scratch = scratch or Scratch(spark)
-    hot = hot or range_rows / 4.0
+
+
+class _Settler:
+    """The components that the links found so far form, and the settling of candidate pairs."""
+
+    def __init__(self, scratch: Scratch, docs: DataFrame, reps: DataFrame, marks_of: DataFrame):
+        self.scratch, self.docs, self.reps, self.marks_of = scratch, docs, reps, marks_of
+        self.texts: DataFrame | None = None
+        self.found: DataFrame | None = None
+
+    def with_component(self, rows: DataFrame, column: str) -> DataFrame:
+        """rows, with the component of the set in a column as component_<column>."""
+        if self.found is None:
+            return rows.withColumn(f"component_{column}", F.col(column))
+        return rows.join(self.found.select(F.col("id").alias(column), "component"), column, "left").withColumn(f"component_{column}", F.coalesce("component", column)).drop("component")
+
+    def settle(self, candidates: DataFrame, turn: int) -> None:
+        """Verify candidates (hub, own) that lie in two components, until no such pair is left that isn't refuted.
+
+        All are verified at once if they are few for each set; else a set's first hubs by a hash are verified,
+        four times as many a round, and what they have joined is done.
+        """
+        scratch, most = self.scratch, 2
+        side = lambda c, t: self.marks_of.select(F.col("sig").alias(c), F.col("n").alias(f"n_{t}"), F.col("mark").alias(f"mark_{t}"))
+        marked = candidates.join(side("hub", "a"), "hub").join(side("own", "b"), "own")
+        marked = marked.select(F.col("hub").alias("a"), F.col("own").alias("b"), "n_a", "n_b", "mark_a", "mark_b")
+        left = scratch.write(marked.mapInArrow(_alike, "a long, b long").select(F.col("a").alias("hub"), F.col("b").alias("own")))
+        fetched = False
+        while True:
+            n, owns = left.agg(F.count("*"), F.approx_count_distinct("own")).first()
+            if not n:
+                break
+            if not fetched:
+                self._fetch(left.select(F.explode(F.array("hub", "own")).alias("sig")).distinct())
+                fetched = True
+            all_ = n <= MANY * owns
+            if all_:
+                picked = left
+            else:
+                order = Window.partitionBy("own").orderBy(F.xxhash64("hub", F.lit(turn)), "hub")
+                ranked = scratch.write(left.withColumn("k", F.row_number().over(order)))
+                picked = ranked.where(F.col("k") <= most).select("hub", "own")
+            text = lambda c, t: self.texts.select(F.col("sig").alias(c), F.col("text").alias(f"text_{t}"))
+            pairs = picked.join(text("own", "b"), "own").join(text("hub", "a"), "hub")
+            links = scratch.write(pairs.select(F.col("hub").alias("a"), F.col("own").alias("b"), "text_a", "text_b").mapInArrow(_verify(SHINGLE), "a long, b long"))
+            edges = links if self.found is None else links.unionByName(self.found.select(F.col("id").alias("a"), F.col("component").alias("b")))
+            self.found = components(self.docs.sparkSession, scratch, edges)
+            scratch.drop(left)
+            if all_:
+                return
+            rest = ranked.where(F.col("k") > most).select("hub", "own")
+            left, most = scratch.write(self.with_component(self.with_component(rest, "hub"), "own").where("component_hub <> component_own").select("hub", "own")), most * 4
+            scratch.drop(ranked)
+        scratch.drop(left)
+
+    def _fetch(self, needed: DataFrame) -> None:
+        if self.texts is None:
+            self.texts = self.scratch.write(_needed_texts(self.docs, self.reps, needed))
+            return
+        more = self.scratch.write(_needed_texts(self.docs, self.reps, needed.join(self.texts.select("sig"), "sig", "left_anti")))
+        self.texts = self.texts.unionByName(more)
+
+
+def _classes(docs: DataFrame, scratch: Scratch, range_rows: int, hot: float) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, sig, n) of every row, and (sig, rep, component) of every set that can be linked."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     n_docs = docs.count()
     bits = min(22, max(14, math.ceil(math.log2(max(n_docs, 2))) + 2))
-    measured = scratch.write(docs.mapInArrow(_measure(bits, SHINGLE), "kind int, a long, b long, n long, counts binary"), "kind")
+    measured = scratch.write(docs.mapInArrow(_measure(bits, SHINGLE), MEASURED), "kind")
     sets = measured.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("sig"), "n")
     counts = np.zeros(1 << bits, dtype=np.int64)
-    for r in measured.where("kind = 1").select("a", "counts").groupBy("a").applyInArrow(_add_up, "a long, counts binary").collect():
-        part = np.frombuffer(r["counts"], dtype=np.int64)
+    for r in measured.where("kind = 1").select("a", "data").groupBy("a").applyInArrow(_add_up, "a long, data binary").collect():
+        part = np.frombuffer(r["data"], dtype=np.int64)
         counts[r["a"] * CHUNK : r["a"] * CHUNK + len(part)] = part
     total = sets.agg(F.sum(F.col("n") - F.ceil(F.col("n") * (NUM / DEN)) + 2)).first()[0] or 0
     ranges = max(1, -(-int(total) // range_rows))
-    linked = sets.where("n > 0 and doc_id is not null")
-    reps = scratch.write(linked.groupBy("sig").agg(F.min("doc_id").alias("rep")))
+    reps = scratch.write(sets.where("n > 0 and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("rep")))
 
     dealt = docs.where("doc_id is not null").mapInArrow(_deal(SHINGLE, counts, ranges, hot), "r int, rows binary")
     found = scratch.write(dealt.groupBy("r").applyInArrow(_pairs(counts, hot), PAIRS), "kind")
     small = found.where("kind = 0").groupBy("a", "b").agg(F.sum("k").alias("k"), F.min("l").alias("l"))
-    stars = found.where("kind = 1").select("a", "b")
-    lists = found.where("kind = 2").select(F.col("a").alias("shingle"), F.col("b").alias("sig"), F.col("k").alias("n"), F.col("l").alias("left"))
+    stars = found.where("kind = 1").select(F.col("a").alias("hub"), F.col("b").alias("own"))
+    lists = found.where("kind = 2").select(F.col("a").alias("shingle"), F.col("b").alias("sig"), F.col("k").alias("n"), F.col("l").alias("left"), F.lit(None).cast("double").alias("before"))
     # a pair whose count falls short may share more in the lists, even by entries left out there, which are useful to a pair's first shared
-    # shingle only: it is verified if both its sets had entries enough to make up for what is missing
+    # shingle only: it is a candidate if both its sets had entries enough to make up for what is missing
     held = found.where("kind = 3").groupBy(F.col("a").alias("sig")).agg(F.sum("k").alias("held"))
     side = lambda c: held.select(F.col("sig").alias(c), F.col("held").alias(f"held_{c}"))
     short = small.where("k < l").join(side("a"), "a").join(side("b"), "b").where(F.col("k") + F.least("held_a", "held_b") >= F.col("l"))
-    tested = scratch.write(small.where("k >= l").select("a", "b").unionByName(stars).unionByName(short.select("a", "b")).distinct())
-
-    texts = scratch.write(_needed_texts(docs, reps, small.select(F.explode(F.array("a", "b")).alias("sig")).unionByName(lists.select("sig")).distinct(), n_docs))
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        one = pairs.join(texts.select(F.col("sig").alias("a"), F.col("text").alias("text_a")), "a")
-        both = one.join(texts.select(F.col("sig").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
-        return both.mapInArrow(_verify(SHINGLE), "a long, b long")
-
-    links = scratch.write(verify(tested))
-    found_components = components(spark, scratch, links)
-    for turn in range(STAR_ROUNDS + 1):
-        rest = lists.join(found_components.select(F.col("id").alias("sig"), "component"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
-        by_part = rest.groupBy("shingle", "component").agg(F.count("*").alias("n"))
-        open_ = scratch.write(by_part.groupBy("shingle").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("within")).where(F.col("all") * F.col("all") > F.col("within")))
-        load = open_.agg(F.sum((F.col("all") * F.col("all") - F.col("within")) / 2), F.sum("all")).first()
-        if not load[0]:
+    pairs = small.where("k >= l").select("a", "b").unionByName(short.select("a", "b"))
+    candidates = scratch.write(pairs.select(F.col("a").alias("hub"), F.col("b").alias("own")).unionByName(stars).distinct())
+    needed = candidates.select(F.explode(F.array("hub", "own")).alias("sig")).unionByName(lists.select("sig")).distinct()
+    marked = measured.where("kind = 0 and data is not null").select(F.col("b").alias("sig"), "n", F.col("data").alias("mark"))
+    marks_of = scratch.write(marked.join(needed, "sig", "left_semi").groupBy("sig").agg(F.first("n").alias("n"), F.first("mark").alias("mark")))
+    settler = _Settler(scratch, docs, reps, marks_of)
+    settler.settle(candidates, 0)
+    turn = 0
+    while True:
+        turn += 1
+        rest = settler.with_component(lists, "sig").withColumnRenamed("component_sig", "component")
+        by_part = rest.groupBy("shingle", "component").agg(F.count("*").alias("n"), F.max("before").alias("before"))
+        by_list = by_part.groupBy("shingle").agg(F.sum("n").alias("all"), F.sum(F.col("n").cast("double") * F.col("n")).alias("within"), F.max("before").alias("before"))
+        open_ = scratch.write(by_list.select("shingle", "all", ((F.col("all").cast("double") * F.col("all") - F.col("within")) / 2).alias("cross"), "before").where("cross > 0"))
+        cross = open_.agg(F.sum("cross")).first()[0]
+        if not cross:
             break
-        rest = rest.join(open_.select("shingle"), "shingle", "left_semi")
-        last = turn == STAR_ROUNDS or load[0] <= LONG_LIST * load[1] / 2 + 4 * n_docs
-        fits = F.least("a.n", "b.n") * DEN >= F.greatest("a.n", "b.n") * NUM
-        pair = [F.least("a.sig", "b.sig").alias("a"), F.greatest("a.sig", "b.sig").alias("b")]
-        rest = scratch.write(rest)
-        if last:
-            # the first shingle that two similar sets share has enough of both behind it
-            enough = F.least("a.left", "b.left") * (NUM + DEN) >= (F.col("a.n") + F.col("b.n")) * NUM
-            wanted = rest.alias("a").join(rest.alias("b"), "shingle").where((F.col("a.component") < F.col("b.component")) & fits & enough).select(*pair).distinct()
-        else:
-            rank = F.xxhash64("sig", F.lit(turn))
-            hubs = scratch.write(rest.groupBy("shingle").agg(F.min(F.struct(rank.alias("rank"), "sig", "n", "component")).alias("hub")).select("shingle", "hub.*"))
-            wanted = rest.alias("a").join(hubs.alias("b"), "shingle").where((F.col("a.component") != F.col("b.component")) & fits).select(*pair).distinct()
-        new = scratch.write(wanted.join(tested, ["a", "b"], "left_anti"))
-        tested = tested.unionByName(new)
-        more = scratch.write(verify(new))
-        if more.isEmpty():
-            if last:
-                break
-            continue
-        links = links.unionByName(more)
-        found_components = components(spark, scratch, links)
-        if last:
-            break
-    named = _name(reps, found_components, scratch)
+        # hubs while they help; then, and where there is little left, all pairs
+        hubbed = F.lit(cross > EACH * n_docs) & (F.col("cross") > FEW * F.col("all")) & (F.col("before").isNull() | (F.col("cross") <= PROGRESS * F.col("before")))
+        rest = scratch.write(rest.drop("before").join(open_.select("shingle", F.when(hubbed, F.col("cross")).alias("before")), "shingle"))
+        fits = (F.least("x.n", "y.n") * DEN >= F.greatest("x.n", "y.n") * NUM) & (F.col("x.component") != F.col("y.component"))
+        # the first shingle that two similar sets share has enough of both behind it
+        enough = F.least("x.left", "y.left") * (NUM + DEN) >= (F.col("x.n") + F.col("y.n")) * NUM
+        few, many = rest.where("before is null"), rest.where("before is not null")
+        wanted = few.alias("x").join(few.alias("y"), "shingle").where((F.col("x.sig") < F.col("y.sig")) & fits & enough).select(F.col("x.sig").alias("hub"), F.col("y.sig").alias("own"))
+        least = [F.min(F.struct(F.xxhash64("sig", F.lit(turn * HUBS + k)).alias("rank"), "sig", "n", "component")) for k in range(HUBS)]
+        hubs = many.groupBy("shingle").agg(*[c.alias(f"h{k}") for k, c in enumerate(least)]).select("shingle", F.explode(F.array(*[F.col(f"h{k}") for k in range(HUBS)])).alias("h")).select("shingle", "h.sig", "h.n", "h.component").distinct()
+        starred = many.alias("x").join(hubs.alias("y"), "shingle").where(fits).select(F.col("y.sig").alias("hub"), F.col("x.sig").alias("own"))
+        settler.settle(wanted.unionByName(starred).distinct(), turn)
+        lists = many.select("shingle", "sig", "n", "left", "before")
+    named = reps if settler.found is None else reps.join(settler.found.select(F.col("id").alias("sig"), "component"), "sig", "left")
+    named = scratch.write(named.select("sig", "rep", F.coalesce("component", "sig").alias("component") if settler.found is not None else F.col("sig").alias("component")))
     scratch.keep_only(measured, named)
-    joined = sets.join(named, "sig", "left")
+    return sets, named
+
+
+def classes(docs: DataFrame, scratch: Scratch | None = None, range_rows: int = RANGE_ROWS, hot: float | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of docs. Only bounded tables (the sketch, a bit filter, counts) reach the driver."""
+    scratch = scratch or Scratch(docs.sparkSession)
+    sets, named = _classes(docs, scratch, range_rows, hot or range_rows / 4.0)
+    least = scratch.write(named.groupBy("component").agg(F.min("rep").alias("component_id")))
+    of_sets = scratch.write(named.join(least, "component").select("sig", "component_id"))
+    scratch.drop(named)
+    scratch.drop(least)
     own = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    return sets.join(of_sets, "sig", "left").select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+#: Names of the columns that keep_one adds on the way.
+_SIG, _KEY = "__quillwork_sig", "__quillwork_key"
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs, all their columns, that stand for their class: one of each class, the smallest id's.
+    """The rows of docs, all their columns, without the copies: of each class one row stays, the smallest id's.
 
-    Rows with a null id stay. Of rows that repeat an id one stays, the one whose text sorts first.
+    Rows with a null id and rows without words stay. Of rows of one class that share its smallest id one stays,
+    the one of the set with the smallest signature. Rows that repeat an id but aren't alike both stay. Only rows
+    whose id passes a bit filter of the ids to be dropped are shuffled; the others go straight on.
     """
-    kept = classes(docs).where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("copies"))
     scratch = Scratch(docs.sparkSession)
-    kept = scratch.write(kept)
-    out = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
-    if kept.where("copies > 1").limit(1).count():
-        rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last()))
-        out = out.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
-    return out.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    sets, named = _classes(docs, scratch, RANGE_ROWS, RANGE_ROWS / 4.0)
+    best = named.groupBy("component").agg(F.min(F.struct("rep", "sig")).alias("best")).select("component", F.col("best.rep").alias("stays"), F.col("best.sig").alias("stays_sig"))
+    judged = named.join(best, "component").select("sig", "stays", (F.col("sig") == F.col("stays_sig")).alias("own"))
+    rows = sets.where("n > 0 and doc_id is not null").groupBy("doc_id", "sig").agg(F.count("*").alias("copies"))
+    rows = rows.join(judged, "sig").select("doc_id", "sig", "copies", (F.col("own") & (F.col("doc_id") == F.col("stays"))).alias("keep"))
+    doubted = scratch.write(rows.where("not keep or copies > 1"))
+    dropped = scratch.write(doubted.select("doc_id").distinct())
+    scratch.keep_only(doubted, dropped)
+    place, hit = _bit_filter(dropped, "doc_id")
+    out = docs.withColumn(_KEY, place(F.col("doc_id").cast("long")))
+    schema = T.StructType([*out.schema.fields, T.StructField(_SIG, T.LongType())])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            some = batch.filter(pa.array(hit(batch.column(_KEY))))
+            for block in text_blocks([some]):
+                _, sig = signatures(*shingles(block, SHINGLE), block.num_rows)
+                yield block.append_column(_SIG, pa.array(sig))
 
-def _needed_texts(docs: DataFrame, reps: DataFrame, needed: DataFrame, n_docs: int) -> DataFrame:
-    """(sig, text) of one document for each needed set. A bit filter of bounded size keeps most other texts out of the shuffle."""
-    bits = 1 << min(26, max(12, math.ceil(math.log2(16 * max(n_docs, 1)))))
-    wanted = reps.join(needed, "sig", "left_semi")
-    place = F.pmod(F.xxhash64("rep"), F.lit(bits))
-    words = wanted.select(place.alias("p")).selectExpr("cast(shiftright(p, 5) as int) as w", "shiftleft(1L, cast(p % 32 as int)) as v").groupBy("w").agg(F.bit_or("v").alias("v")).collect()
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(~hit(batch.column(_KEY))))
+
+    clear = out.mapInArrow(rest, out.schema).select(docs.columns)
+    asked = out.mapInArrow(run, schema).withColumn(_KEY, F.col("doc_id").cast("long"))
+    verdict = doubted.select(F.col("doc_id").alias(_KEY), F.col("sig").alias(_SIG), "keep", "copies").select(_KEY, _SIG, F.struct("keep", "copies").alias("__quillwork_verdict"))
+    asked = asked.join(verdict, [_KEY, _SIG], "left")
+    first = F.row_number().over(Window.partitionBy(_KEY, _SIG).orderBy("text"))
+    single = asked.where("__quillwork_verdict is null")
+    repeated = asked.where("__quillwork_verdict.keep").withColumn("__quillwork_k", first).where("__quillwork_k = 1")
+    return clear.unionByName(single.select(docs.columns)).unionByName(repeated.select(docs.columns))
+
+
+def _bit_filter(ids: DataFrame, column: str) -> tuple[Callable[[Column], Column], Callable[[pa.Array], np.ndarray]]:
+    """(bit number of an id, test of bit numbers): ids pass, and others seldom. The filter has 16 bits an id, up to 16 MB; when crowded it lets more pass."""
+    bits = 1 << min(27, max(12, math.ceil(math.log2(16 * max(ids.count(), 1)))))
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    words = ids.select(place(F.col(column)).alias("p")).selectExpr("cast(shiftright(p, 5) as int) as w", "shiftleft(1L, cast(p % 32 as int)) as v").groupBy("w").agg(F.bit_or("v").alias("v")).toArrow()
     mask = np.zeros(bits // 32, dtype=np.uint32)
-    for r in words:
-        mask[r["w"]] = r["v"]
+    mask[words.column("w").to_numpy()] = words.column("v").to_numpy()
+
+    def hit(places: pa.Array) -> np.ndarray:
+        at = places.to_numpy(zero_copy_only=False)
+        return (mask[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1) == 1
+
+    return place, hit
+
+
+def _needed_texts(docs: DataFrame, reps: DataFrame, needed: DataFrame) -> DataFrame:
+    """(sig, text) of one document for each needed set. A bit filter keeps most other texts out of the shuffle."""
+    wanted = reps.join(needed, "sig", "left_semi")
+    place, hit = _bit_filter(wanted, "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column("place").to_numpy()
-            keep = batch.filter(pa.array((mask[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1) == 1))
-            for block in text_blocks([keep]):
+            for block in text_blocks([batch.filter(pa.array(hit(batch.column("place"))))]):
                 hashes, rows = shingles(block, SHINGLE)
                 _, sig = signatures(hashes, rows, block.num_rows)
                 yield pa.RecordBatch.from_arrays([pa.array(sig), block.column("text")], names=["sig", "text"])
 
-    placed = docs.where("doc_id is not null and text is not null").select("text", F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("place"))
+    placed = docs.where("doc_id is not null and text is not null").select("text", place(F.col("doc_id")).alias("place"))
     passed = placed.mapInArrow(run, "sig long, text string")
     return passed.join(wanted.select("sig"), "sig", "left_semi").groupBy("sig").agg(F.first("text").alias("text"))
-
-
-def _name(reps: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
-    """(sig, component_id): the smallest document id among the sets of each component."""
-    of_sets = scratch.write(reps.join(found.select(F.col("id").alias("sig"), "component"), "sig", "left").withColumn("component", F.coalesce("component", "sig")))
-    least = scratch.write(of_sets.groupBy("component").agg(F.min("rep").alias("component_id")))
-    return scratch.write(of_sets.join(least, "component").select("sig", "component_id"))

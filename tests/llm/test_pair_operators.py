@@ -69,10 +69,11 @@ def hard_rows(n=400, seed=4):
     return rows
 
 
-@pytest.mark.parametrize(("range_rows", "hot", "rounds"), [(500_000, None, 4), (300, 3.0, 4), (2_000, 50.0, 0)])
-def test_ngram_join_is_brute_force(spark, monkeypatch, range_rows, hot, rounds):
-    monkeypatch.setattr(ngram_join, "STAR_ROUNDS", rounds)
-    monkeypatch.setattr(ngram_join, "LONG_LIST", 4_000 if hot is None else 0)
+@pytest.mark.parametrize(("range_rows", "hot", "few"), [(500_000, None, 4), (300, 3.0, 0), (2_000, 50.0, 10**9)])
+def test_ngram_join_is_brute_force(spark, monkeypatch, range_rows, hot, few):
+    """As it is; with hubs wherever a list has anything left, and shingles dealt by salt; with all pairs at once."""
+    monkeypatch.setattr(ngram_join, "FEW", few)
+    monkeypatch.setattr(ngram_join, "EACH", 0 if few == 0 else ngram_join.EACH)
     rows = hard_rows()
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.classes(spark.createDataFrame(rows, "doc_id long, text string"), range_rows=range_rows, hot=hot).collect()}
     assert got == brute_classes(rows)
@@ -96,6 +97,69 @@ def test_ngram_join_short_lists_of_templates(spark):
         assert got == want
 
 
+def test_marks_never_rule_out_more_than_differs():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        n, shared = int(rng.integers(1, 300)), rng.integers(0, 1 << 63, 400).astype(np.uint64)
+        sets = [np.unique(np.concatenate([shared[:n], rng.integers(0, 1 << 63, int(rng.integers(0, 120))).astype(np.uint64)])) for _ in range(2)]
+        one, two = (ngram_join.marks(x, np.zeros(len(x), np.int64), np.array([len(x)]))[0] for x in sets)
+        assert ngram_join.differ_at_least(one, two) == ngram_join.differ_at_least(two, one) <= len(np.setxor1d(*sets))
+        assert ngram_join.differ_at_least(one, one) == 0
+
+
+def test_ngram_join_of_a_large_group_verifies_few_pairs(spark, tmp_path, monkeypatch):
+    """2,000 near copies, each like a part of the others only: the classes are those of brute force, with few verified pairs for each text."""
+    r = random.Random(8)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(2_000):
+        w = list(base)
+        for _ in range(r.randint(0, 2)):
+            w[r.randrange(60)] = f"x{r.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    rows += [(5_000 + i, " ".join(base[:12]) + " " + " ".join(f"o{i}q{k}" for k in range(40))) for i in range(300)]
+    verify = ngram_join._verify
+
+    def counted(size):
+        run = verify(size)
+
+        def counting(batches):
+            for b in batches:
+                (tmp_path / f"{random.Random().random()}").write_text(str(b.num_rows))
+                yield from run(iter([b]))
+
+        return counting
+
+    monkeypatch.setattr(ngram_join, "_verify", counted)
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in ngram_join.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    verified = sum(int(p.read_text()) for p in tmp_path.iterdir())
+    assert verified < 20 * len(rows)
+    assert got == brute_classes(rows)
+
+
+def thue_morse(letters, n=11):
+    word = letters[0]
+    for _ in range(n):
+        word += word.translate(str.maketrans(letters, letters[::-1]))
+    return word
+
+
+def test_words_of_one_rule_are_not_alike(spark):
+    """Thue-Morse words and their complements, which a polynomial hash modulo a power of two takes for equal."""
+    one, two = thue_morse("ab"), thue_morse("ba")
+    rows = [(1, f"{one} x y z u"), (2, f"{two} x y z u"), (3, f"{one.upper()} x y z u")]
+    got = {r.doc_id: r.component_id for r in ngram_join.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+
+
+def test_keep_one_with_repeated_ids(spark):
+    long = " ".join(f"k{i}" for i in range(40))
+    rows = [(1, long, 1), (1, "quite another text that nothing is like", 1), (2, long + " more", 2), (3, long, 3), (3, "alone it stands here and stays", 3), (4, "alone it stands here and stays", 4), (4, "", 4), (None, long, 5), (5, None, 6), (6, "twice the very same row here", 7), (6, "twice the very same row here", 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __rank int")
+    got = Counter((r.doc_id, r.text) for r in ngram_join.keep_one(df).collect())
+    assert got == Counter([(1, long), (1, rows[1][1]), (3, rows[4][1]), (4, ""), (None, long), (5, None), (6, rows[9][1])])
+
+
 def test_ngram_join_odd_inputs(spark):
     rows = [(1, None, "x"), (2, "", "x"), (3, "A b", "x"), (4, "a  B", "x"), (5, "a b c", "x"), (7, "w " * 9, "y"), (7, "w " * 9, "y"), (None, "a b", "z"), (8, "long text here " * 20_000, "q")]
     df = spark.createDataFrame(rows, "doc_id long, text string, sig string")
@@ -109,9 +173,10 @@ def test_ngram_join_odd_inputs(spark):
 def test_components(spark):
     r = random.Random(5)
     for links in ([(i, i + 1) for i in range(60)], [(r.randrange(200), r.randrange(200)) for _ in range(150)], [(0, i) for i in range(1, 40)], []):
-        got = {x.id: x.component for x in components(spark, Scratch(spark), spark.createDataFrame(links, "a long, b long")).collect()}
-        want = union_find({n for e in links for n in e}, links)
-        assert all(want[n] == c for n, c in got.items()) and all(n in got for a, b in links if a != b for n in (a, b))
+        for local in (0, 1 << 20):
+            got = {x.id: x.component for x in components(spark, Scratch(spark), spark.createDataFrame(links, "a long, b long"), local_edges=local).collect()}
+            want = union_find({n for e in links for n in e}, links)
+            assert all(want[n] == c for n, c in got.items()) and all(n in got for a, b in links if a != b for n in (a, b))
 
 
 def test_near_vectors_against_brute_force(spark):
