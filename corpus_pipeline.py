@@ -17,22 +17,22 @@ ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Toxicity: documents that it rejects go."""
+    """Toxicity: documents that it rejects go. Null and empty texts stay, as do repeated rows and null ids; without labels of both kinds only the seed words judge."""
     return toxicity.keep_clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_unidentified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: documents in no known language go."""
+    """Language ID: documents in no known language go, and those whose text is null or has no letter. Without any labelled row nothing can be told and all stay."""
     return langid.keep_identified(docs, langid.fit(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join: one document of each group stays, the one with the smallest id."""
+    """N-gram Jaccard join: one document of each group stays, the one with the smallest id. Rows with a null id or without words stay."""
     return ngram_join.keep_one(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Best-fit packing of what is left into sequences of 4,096 tokens; one row a piece."""
+    """Best-fit packing of what is left into sequences of 4,096 tokens; one row a piece. A null text is empty; an empty table gives no rows."""
     return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
 
 
@@ -45,9 +45,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written to the shared folder before the next reads it."""
+    """All stages over documents, each written to the shared folder before the next reads it; what no stage reads any more is removed."""
     scratch = Scratch(spark)
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = scratch.write(stage(spark, docs, sf_dir))
+    for k, (_, stage) in enumerate(STAGES):
+        before, docs = docs, scratch.write(stage(spark, docs, sf_dir))
+        if k:
+            scratch.drop(before)
     return docs
