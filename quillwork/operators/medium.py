@@ -14,6 +14,8 @@ DICTIONARY: dict[str, tuple[str, str]] = {
     "etching": ("technique", "etching"), "engraving": ("technique", "engraving"), "lithograph": ("technique", "lithography"), "lithography": ("technique", "lithography"), "woodcut": ("technique", "woodcut"),
     "gouache": ("ambiguous", "gouache"), "watercolor": ("ambiguous", "watercolor"), "watercolour": ("ambiguous", "watercolor"), "tempera": ("ambiguous", "tempera"),
 }
+#: Most terms that one dictionary may have: it becomes one pattern and one literal map in the plan.
+MOST_TERMS = 5_000
 #: Ways in which a sheet is fixed to a support; dropped before terms are looked for.
 NOISE = tuple(f"{w} down" for w in ("laid", "pasted", "mounted", "glued", "stuck", "tipped", "set", "fixed", "lined", "nailed"))
 

@@ -104,11 +104,11 @@ def era_clusters(spark, d):
 
 
 @query("jaccard_adjacency", """
-WITH s AS (SELECT DISTINCT p_brand AS k, p_size AS i FROM part WHERE p_partkey % 7 = 0), z AS (SELECT k, count(*) AS size FROM s GROUP BY 1),
+WITH s AS (SELECT DISTINCT p_brand AS k, p_size AS i FROM part), z AS (SELECT k, count(*) AS size FROM s GROUP BY 1),
 b AS (SELECT x.k AS a, y.k AS b, count(*) AS both_n FROM s x JOIN s y ON x.i = y.i AND x.k <> y.k GROUP BY 1, 2)
 SELECT a, b, round(both_n / (za.size + zb.size - both_n), 6) AS jaccard FROM b JOIN z za ON za.k = a JOIN z zb ON zb.k = b WHERE both_n / (za.size + zb.size - both_n) > 0.25""")
 def jaccard_adjacency(spark, d):
-    sets = t(spark, d, "part").where("p_partkey % 7 = 0").groupBy("p_brand").agg(F.collect_set("p_size").alias("sizes"))
+    sets = t(spark, d, "part").groupBy("p_brand").agg(F.collect_set("p_size").alias("sizes"))
     return knowledge.jaccard_adjacency(sets, "p_brand", "sizes", 0.25).withColumn("jaccard", F.round("jaccard", 6))
 
 
@@ -122,12 +122,12 @@ def significant_values(spark, d):
 
 
 @query("culture_adjacency", """
-WITH m AS (SELECT DISTINCT s_nationkey, p_type FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey WHERE p_size < 3), c AS (SELECT n_name AS culture, n_regionkey AS r, n_nationkey AS k, n_nationkey % 3 AS era FROM nation),
+WITH m AS (SELECT DISTINCT s_nationkey, p_type FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey), c AS (SELECT n_name AS culture, n_regionkey AS r, n_nationkey AS k, n_nationkey % 3 AS era FROM nation),
 p AS (SELECT x.culture AS a, y.culture AS b, x.k AS ka, y.k AS kb FROM c x JOIN c y ON x.culture <> y.culture AND x.r = y.r AND x.era = y.era),
 j AS (SELECT a, b, (SELECT count(*) FROM m u JOIN m v ON u.p_type = v.p_type WHERE u.s_nationkey = ka AND v.s_nationkey = kb) AS both_n, (SELECT count(DISTINCT p_type) FROM m WHERE s_nationkey IN (ka, kb)) AS uni FROM p)
 SELECT a, b FROM j WHERE uni > 0 AND both_n / uni > 0.5""")
 def culture_adjacency(spark, d):
-    items = t(spark, d, "lineitem").join(t(spark, d, "part").where("p_size < 3"), F.col("l_partkey") == F.col("p_partkey")).join(t(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).groupBy("s_nationkey").agg(F.collect_set("p_type").alias("materials"))
+    items = t(spark, d, "lineitem").join(t(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).join(t(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).groupBy("s_nationkey").agg(F.collect_set("p_type").alias("materials"))
     n = t(spark, d, "nation").join(items, F.col("n_nationkey") == F.col("s_nationkey"), "left")
     cultures = n.select(F.col("n_name").alias("culture"), F.array(F.col("n_name")).alias("countries"), F.array(F.col("n_regionkey").cast("string")).alias("continents"), F.array(F.col("n_nationkey") % 3).alias("eras"), F.coalesce("materials", F.array().cast("array<string>")).alias("materials"))
     return knowledge.culture_adjacency(cultures)
@@ -162,9 +162,9 @@ def knowledge_export(spark, d):
     return knowledge.export_json(t(spark, d, "nation"), "n_regionkey", F.col("n_name"))
 
 
-@query("mean_year", "SELECT o_orderkey, round((y + CASE WHEN o_orderkey % 7 = 0 THEN -(y + 5) ELSE y + 5 END) / 2.0, 2) AS year FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN -year(o_orderdate) ELSE year(o_orderdate) END AS s, year(o_orderdate) AS y FROM orders) WHERE o_orderkey % 5 <> 0")
+@query("mean_year", "SELECT o_orderkey, round((y + CASE WHEN o_orderkey % 7 = 0 THEN -(y + 5) ELSE y + 5 END) / 2.0, 2) AS year FROM (SELECT o_orderkey, year(o_orderdate) AS y FROM orders)")
 def mean_year(spark, d):
-    o = t(spark, d, "orders").where("o_orderkey % 5 <> 0").withColumn("y", F.year("o_orderdate"))
+    o = t(spark, d, "orders").withColumn("y", F.year("o_orderdate"))
     return o.select("o_orderkey", F.round(knowledge.mean_year(F.col("y").cast("string"), (F.col("y") + 5).cast("string"), F.lit(None).cast("boolean"), F.col("o_orderkey") % 7 == 0), 2).alias("year"))
 
 
@@ -229,13 +229,15 @@ def zip_pairs(spark, d):
 
 
 @query("similar_name_filter", r"""
-WITH p AS (SELECT DISTINCT p_name AS n FROM part), s AS (SELECT n, regexp_extract_all(lower(n), '\w+') AS w FROM p)
-SELECT x.n AS a, y.n AS b, contains(x.n, y.n) OR contains(y.n, x.n) OR len(list_intersect(x.w, y.w)) > 0 AS loose, x.n = y.n OR contains(x.n, y.n) OR contains(y.n, x.n) OR len(list_intersect(list_distinct(x.w), list_distinct(y.w))) / greatest(len(list_distinct(x.w)), len(list_distinct(y.w))) > 0.7 AS strict
-FROM s x JOIN s y ON x.n < y.n""")
+WITH s AS (SELECT p_partkey AS k, p_name AS n, regexp_extract_all(lower(p_name), '\w+') AS w FROM part)
+SELECT x.k AS a, y.k AS b, x.n = y.n OR contains(x.n, y.n) OR contains(y.n, x.n) OR len(list_intersect(x.w, y.w)) > 0 AS loose, x.n = y.n OR contains(x.n, y.n) OR contains(y.n, x.n) OR len(list_intersect(list_distinct(x.w), list_distinct(y.w))) / greatest(len(list_distinct(x.w)), len(list_distinct(y.w))) > 0.7 AS strict
+FROM s x JOIN s y ON y.k = x.k + 1""")
 def similar_name_filter(spark, d):
-    p = t(spark, d, "part").select(F.col("p_name").alias("n")).distinct()
-    both = p.select(F.col("n").alias("a")).join(F.broadcast(p.select(F.col("n").alias("b"))) if p.count() <= 1000 else p.select(F.col("n").alias("b")), F.col("a") < F.col("b"))
-    return both.select("a", "b", text.similar_loose(F.col("a"), F.col("b")).alias("loose"), text.similar_strict(F.col("a"), F.col("b")).alias("strict"))
+    """Each part's name against that of the part with the next key: one comparison a row."""
+    p = t(spark, d, "part")
+    one, two = p.select(F.col("p_partkey").alias("a"), F.col("p_name").alias("x")), p.select(F.col("p_partkey").alias("b"), F.col("p_name").alias("y"))
+    both = one.join(two, F.col("b") == F.col("a") + 1)
+    return both.select("a", "b", text.similar_loose(F.col("x"), F.col("y")).alias("loose"), text.similar_strict(F.col("x"), F.col("y")).alias("strict"))
 
 
 _COS = """WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e, label FROM embeddings), n AS (SELECT vec_id, label, list_transform(e, lambda x: x / sqrt(list_sum(list_transform(e, lambda y: y * y)))) AS u FROM v),
@@ -387,9 +389,9 @@ def date_label(spark, d):
     return o.select("o_orderkey", text.date_label(F.col("y").cast("double"), F.when(F.col("one"), F.col("y")).otherwise(F.col("y") - 3).cast("double"), ~F.col("one"), ~F.col("one")).alias("label"))
 
 
-@query("signed_midpoint", "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN -(y + y - 10) / 2.0 ELSE CASE WHEN o_orderkey % 3 = 0 THEN y * 1.0 ELSE (y + y - 10) / 2.0 END END AS mid FROM (SELECT o_orderkey, year(o_orderdate) AS y FROM orders) WHERE o_orderkey % 6 <> 0")
+@query("signed_midpoint", "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN -1.0 ELSE 1.0 END * CASE WHEN o_orderkey % 3 = 0 THEN y ELSE (y + y - 10) / 2.0 END AS mid FROM (SELECT o_orderkey, year(o_orderdate) AS y FROM orders)")
 def signed_midpoint(spark, d):
-    o = t(spark, d, "orders").where("o_orderkey % 6 <> 0").withColumn("y", F.year("o_orderdate")).withColumn("bce", F.col("o_orderkey") % 2 == 0)
+    o = t(spark, d, "orders").withColumn("y", F.year("o_orderdate")).withColumn("bce", F.col("o_orderkey") % 2 == 0)
     return o.select("o_orderkey", lists.midpoint(F.col("y"), F.when((F.col("o_orderkey") % 3 != 0), F.col("y") - 10), F.col("bce"), F.col("bce")).alias("mid"))
 
 
@@ -486,8 +488,10 @@ WITH x AS (SELECT p_partkey, string_split(p_name, ' ')[1] AS a, string_split(p_n
 SELECT p_partkey, b AS materials, a AS techniques FROM x""")
 def medium_extract(spark, d):
     p = t(spark, d, "part").withColumn("a", F.split("p_name", " ")[0]).withColumn("b", F.split("p_name", " ")[1])
-    adjectives = [r[0] for r in p.select("a").distinct().limit(200).collect()]
-    nouns = [r[0] for r in p.select("b").distinct().limit(200).collect()]
+    words = p.select(F.explode(F.array(F.struct(F.lit("technique").alias("kind"), F.col("a").alias("w")), F.struct(F.lit("material").alias("kind"), F.col("b").alias("w")))).alias("x")).select("x.*").distinct().limit(medium.MOST_TERMS + 1).collect()
+    if len(words) > medium.MOST_TERMS:
+        raise ValueError(f"more than {medium.MOST_TERMS} terms don't make a dictionary")
+    adjectives, nouns = (sorted(r["w"] for r in words if r["kind"] == kind and r["w"]) for kind in ("technique", "material"))
     dictionary = {a: ("technique", a) for a in adjectives} | {n: ("material", n) for n in nouns}
     m = medium.extract_medium(F.concat("a", F.lit(" on "), "b", F.lit(" ("), "a", F.lit(")")), dictionary)
     return p.select("p_partkey", F.array_join(m["materials"], ",").alias("materials"), F.array_join(m["techniques"], ",").alias("techniques"))
