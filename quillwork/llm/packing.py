@@ -1,10 +1,10 @@
 """Best-fit packing of token pieces into sequences, improved by swap-based local search.
 
 Documents become pieces of at most `capacity` tokens; only longer documents are cut. Pieces are dealt to
-groups of bounded size by a hash of their document. In each group full pieces stand alone, the others are
-placed best fit by decreasing length, and a local search then works on the underfull bins: it moves one
-document, exchanges one for one or two for one, wherever that raises the sum of squared fills, until the
-emptiest bins have no document left or nothing more can be won.
+groups of bounded size by a hash. In each group full pieces stand alone, the others are placed best fit by
+decreasing length, and a local search then works on all underfull bins: it moves documents, exchanges one for
+one, two for one or one for two, wherever that raises the sum of squared fills, until no step is left or
+rounds empty no further bin.
 """
 
 from __future__ import annotations
@@ -60,82 +60,110 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
 
 
 def local_search(bins: list[list[int]], sizes: list[int], capacity: int, patience: int = PATIENCE) -> list[list[int]]:
-    """Fewer or fuller bins: the emptiest bin's documents are moved, exchanged one for one, or given for two smaller ones.
+    """Fewer or fuller bins: documents are moved, exchanged one for one, two for one or one for two between underfull bins.
 
-    Every step raises the sum of squared fills, so the search ends. Only bins that are not full take part.
+    Each round takes every underfull bin, the emptiest first, as a source, and gives its documents to the bins
+    that an exchange fills best. A step is taken if it raises the sum of squared fills of the two bins, so the
+    search ends; bins that get empty go. It stops when the bound on the number of bins is met, after a round
+    without a step, or after `patience` rounds without a bin emptied. Only bins that are not full take part.
     """
     fill = [sum(sizes[i] for i in b) for b in bins]
-    done = [b for b, f in zip(bins, fill, strict=True) if f >= capacity]
-    open_ = [(f, b) for b, f in zip(bins, fill, strict=True) if f < capacity]
+    held = [sorted(b, key=lambda i: (sizes[i], i)) for b in bins]
+    open_ = [k for k, f in enumerate(fill) if f < capacity]
     idle = 0
     while len(open_) > 1 and idle < patience:
-        if sum(f for f, _ in open_) > capacity * (len(open_) - 1):
+        before, filled = len(open_), sum(map(bool, held))
+        if sum(fill[k] for k in open_) > capacity * (before - 1):
             break  # even one bin fewer can't hold them
-        open_.sort(key=lambda x: (x[0], x[1]))
-        load, source = open_[0]
-        source, changed = list(source), False
-        for k in range(len(open_) - 1, 0, -1):
-            f, target = open_[k]
-            free = capacity - f
-            if not source or free == 0:
-                continue
-            fits = [i for i in source if sizes[i] <= free]
-            if fits:  # move
-                i = max(fits, key=lambda x: (sizes[x], x))
-                source.remove(i)
-                target = [*target, i]
-                f, load = f + sizes[i], load - sizes[i]
-                open_[k], changed = (f, target), True
-                continue
-            swap = _best_swap(source, target, sizes, free, f, load)
-            if swap:
-                give, take = swap
-                source = [*(i for i in source if i not in give), *take]
-                target = [*(i for i in target if i not in take), *give]
-                gain = sum(sizes[i] for i in give) - sum(sizes[i] for i in take)
-                f, load = f + gain, load - gain
-                open_[k], changed = (f, target), True
-        if source:
-            open_[0] = (load, source)
-            idle = 0 if changed else patience
-        else:
-            open_.pop(0)
-            idle = 0
-        full = [b for f, b in open_ if f >= capacity]
-        if full:
-            done += full
-            open_ = [x for x in open_ if x[0] < capacity]
-    return done + [b for _, b in open_ if b]
-
-
-def _best_swap(source: list[int], target: list[int], sizes: list[int], free: int, f: int, load: int) -> tuple[list[int], list[int]] | None:
-    """The exchange (from source, from target) that fills target most: one for one, two for one or one for two."""
-    ts = sorted(target, key=lambda i: sizes[i])
-    weights = [sizes[i] for i in ts]
-    best, found = 0, None
-    gives = [[i] for i in source] + [[source[a], source[b]] for a in range(min(len(source), 24)) for b in range(a)]
-    for give in gives:
-        total = sum(sizes[i] for i in give)
-        # take one document: it must be smaller than what comes, by no more than the free space
-        k = bisect.bisect_left(weights, total - free)
-        if k < len(ts) and 0 < total - weights[k] and total - weights[k] > best:
-            best, found = total - weights[k], (give, [ts[k]])
-        if len(give) == 1:  # take two
-            lo, hi = 0, len(ts) - 1
-            while lo < hi:
-                two = weights[lo] + weights[hi]
-                if two >= total:
-                    hi -= 1
-                elif total - two <= free:
-                    if total - two > best:
-                        best, found = total - two, (give, [ts[lo], ts[hi]])
-                    hi -= 1
-                else:
-                    lo += 1
-        if best == free:
+        index = _Partners(open_, fill, held, sizes, capacity)
+        stepped = False
+        for source in sorted(open_, key=lambda k: (fill[k], k)):
+            while held[source] and (step := index.best(source)):
+                target, give, take = step
+                for k, gone, come in ((source, give, take), (target, take, give)):
+                    index.remove(k)
+                    held[k] = sorted([*(i for i in held[k] if i not in gone), *come], key=lambda i: (sizes[i], i))
+                    fill[k] += sum(sizes[i] for i in come) - sum(sizes[i] for i in gone)
+                    index.add(k)
+                stepped = True
+        open_ = [k for k in open_ if held[k] and fill[k] < capacity]
+        if not stepped:
             break
-    # the sum of squares must rise: target gains best, source loses it
-    return found if found and (f + best) ** 2 + (load - best) ** 2 > f**2 + load**2 else None
+        idle = 0 if sum(map(bool, held)) < filled else idle + 1
+    return [h for h in held if h]
+
+
+class _Partners:
+    """The documents, and pairs of neighbours in size, of underfull bins, by size, to find what fills a bin's space best."""
+
+    def __init__(self, bins: list[int], fill: list[int], held: list[list[int]], sizes: list[int], capacity: int):
+        self.fill, self.held, self.sizes, self.capacity = fill, held, sizes, capacity
+        self.frees: list[tuple[int, int]] = []  # (free space, bin)
+        self.gaps: list[tuple[int, int, int]] = []  # (free space + size of a document, bin, document): how large a document may be that takes its place
+        for k in bins:
+            self.add(k)
+
+    def add(self, k: int) -> None:
+        if not self.held[k] or self.fill[k] >= self.capacity:
+            return
+        free = self.capacity - self.fill[k]
+        bisect.insort(self.frees, (free, k))
+        for i in self.held[k]:
+            bisect.insort(self.gaps, (free + self.sizes[i], k, i))
+
+    def remove(self, k: int) -> None:
+        free = self.capacity - self.fill[k]
+        at = bisect.bisect_left(self.frees, (free, k))
+        if at < len(self.frees) and self.frees[at] == (free, k):
+            del self.frees[at]
+        for i in self.held[k]:
+            gap = (free + self.sizes[i], k, i)
+            at = bisect.bisect_left(self.gaps, gap)
+            if at < len(self.gaps) and self.gaps[at] == gap:
+                del self.gaps[at]
+
+    def best(self, source: int) -> tuple[int, list[int], list[int]] | None:
+        """(target, documents that the source gives, documents that it takes): the step that raises the squares most."""
+        sizes, load = self.sizes, self.fill[source]
+        gain, found = 0, None
+        own = self.held[source]
+        # documents of one size are alike, and a bin has few sizes; own is in the order of size
+        new = [i for n, i in enumerate(own) if not n or sizes[own[n - 1]] != sizes[i]]
+        twins = [[x, y] for n, (x, y) in enumerate(zip(own, own[1:], strict=False)) if sizes[x] == sizes[y] and (not n or sizes[own[n - 1]] != sizes[x])]
+        gives = [[i] for i in new] + [[new[x], new[y]] for x in range(len(new)) for y in range(x)] + twins
+        for give in gives:
+            total = sum(sizes[i] for i in give)
+            # a move: the tightest space that holds what is given
+            at = bisect.bisect_left(self.frees, (total, -1))
+            while at < len(self.frees) and self.frees[at][1] == source:
+                at += 1
+            if at < len(self.frees):
+                k = self.frees[at][1]
+                won = self._won(load, self.fill[k], total)
+                if won > gain:
+                    gain, found = won, (k, give, [])
+            # an exchange for one document: the place that just holds what is given
+            at = bisect.bisect_left(self.gaps, (total, -1, -1))
+            for gap, k, i in self.gaps[at : at + 3]:
+                if k != source and sizes[i] < total:
+                    won = self._won(load, self.fill[k], total - sizes[i])
+                    if won > gain:
+                        gain, found = won, (k, give, [i])
+            # one for two: a target's free space and its two smallest make room
+            if len(give) == 1:
+                for _, k in self.frees[-3:]:
+                    two = self.held[k][:2]
+                    less = total - sum(sizes[i] for i in two)
+                    if k != source and len(two) == 2 and 0 < less <= self.capacity - self.fill[k]:
+                        won = self._won(load, self.fill[k], less)
+                        if won > gain:
+                            gain, found = won, (k, give, two)
+        return found
+
+    @staticmethod
+    def _won(load: int, other: int, moved: int) -> int:
+        """By how much the sum of both squared fills rises when so much goes from a bin of one load to one of the other."""
+        return (other + moved) ** 2 + (load - moved) ** 2 - other**2 - load**2
 
 
 def pack(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
@@ -181,7 +209,8 @@ def place(cut: DataFrame, n_docs: int, capacity: int = CAPACITY, group_rows: int
         columns = [data.column(f.name).combine_chunks().cast(f.type) for f in list(schema)[:5]] + [pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())]
         yield from pa.Table.from_arrays(columns, schema=schema).to_batches(max_chunksize=10_000)
 
-    keyed = cut.withColumn("g", F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("ids_crc32"))), F.lit(groups)).cast("int"))
+    # the row's number splits ids and texts that repeat; it is the same when a lost task runs again over its part of the input
+    keyed = cut.withColumn("g", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups)).cast("int"))
     return keyed.groupBy("g").applyInArrow(run, PLACED)
 
 

@@ -298,3 +298,15 @@ def test_bpe_of_words_of_one_rule(name):
     library, own = Library.from_file(queries.tokenizer_path(name)), bpe.Tokenizer(bpe.vocabulary_content(queries.tokenizer_path(name)))
     want = [library.encode(t, add_special_tokens=False).ids for t in texts]
     assert want[0] != want[1] and [x.tolist() for x in own.encode_batch(texts)] == want
+
+
+def test_local_search_wins_bins_where_best_fit_is_not_optimal():
+    import random
+
+    for lo, hi, least in ((1_000, 2_200, 20), (300, 2_500, 2)):
+        r = random.Random(1)
+        sizes = [r.randint(lo, hi) for _ in range(3_000)]
+        start = packing.best_fit(sizes, 4096)
+        got = packing.local_search(start, sizes, 4096)
+        assert sorted(i for b in got for i in b) == list(range(len(sizes))) and all(sum(sizes[i] for i in b) <= 4096 for b in got)
+        assert len(got) <= len(start) - least, (len(start), len(got))
