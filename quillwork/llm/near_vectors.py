@@ -11,6 +11,7 @@ blocks of bounded size; a block returns sums and a spanning forest, never its pa
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -52,9 +53,26 @@ class Index:
         cells = len(self.one) * len(self.two)
         if self.visits >= cells:
             return np.full(len(d1), np.inf)
-        cost = (d1[:, :, None] + d2[:, None, :]).reshape(len(d1), -1)
-        part = np.partition(cost, (self.visits - 1, self.visits), axis=1)
-        return (part[:, self.visits - 1] + part[:, self.visits]) / 2
+        one, two = np.sort(d1, axis=1), np.sort(d2, axis=1)
+        return np.fromiter((_multi_sequence(x, y, self.visits) for x, y in zip(one.tolist(), two.tolist(), strict=True)), float, len(d1))
+
+
+def _multi_sequence(one: list[float], two: list[float], visits: int) -> float:
+    """The mean of the costs of the last visited cell and the next: multi-sequence traversal of two ascending lists.
+
+    A heap holds, of each row of the grid that has been entered, the next cell; a row is entered when the row
+    before it gives its first cell. So the cells come in the order of their cost, and no others are looked at.
+    """
+    heap, last = [(one[0] + two[0], 0, 0)], 0.0
+    for _ in range(visits):
+        last, i, j = heap[0]
+        if j + 1 < len(two):
+            heapq.heapreplace(heap, (one[i] + two[j + 1], i, j + 1))
+        else:
+            heapq.heappop(heap)
+        if j == 0 and i + 1 < len(one):
+            heapq.heappush(heap, (one[i + 1] + two[0], i + 1, 0))
+    return (last + heap[0][0]) / 2
 
 
 def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -74,11 +92,13 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -
 def fit_index(sample: np.ndarray, total: int, threshold: float = THRESHOLD, recall: float = RECALL, seed: int = 5) -> Index | None:
     """An index from unit vectors; None if there are too few, or of too few dimensions, for a grid to help.
 
+    A codebook has the square root of total / 500 centroids, an eighth of the sample at most.
+
     The number of visits is the rank, at the target recall, of the cell in which a copy turned away from its
     vector to just the threshold lies.
     """
     n, dim = sample.shape
-    k = min(128, max(4, int(math.sqrt(total / 500))), n // 8)
+    k = min(max(4, int(math.sqrt(total / 500))), n // 8)
     if dim < 4 or k < 2:
         return None
     rng = np.random.default_rng(seed)
@@ -92,7 +112,9 @@ def fit_index(sample: np.ndarray, total: int, threshold: float = THRESHOLD, reca
     o1, o2 = index.distances(other)
     d1, d2 = index.distances(some)
     own = d1[np.arange(len(some)), o1.argmin(1)] + d2[np.arange(len(some)), o2.argmin(1)]
-    rank = ((d1[:, :, None] + d2[:, None, :]).reshape(len(some), -1) < own[:, None]).sum(1) + 1
+    d2.sort(axis=1)
+    # how many cells cost less: for each centroid of the first half, those of the second below what is left
+    rank = np.array([np.searchsorted(two, cost - one).sum() + 1 for one, two, cost in zip(d1, d2, own, strict=True)])
     index.visits = int(np.sort(rank)[min(len(rank) - 1, math.ceil(recall * len(rank)))])
     return index
 
@@ -115,6 +137,7 @@ def _assign(indexes: dict[int, Index]):
                 batch = whole.slice(lo, 2_000)
                 dims = batch.column("dim").to_numpy()
                 vectors = batch.column("embedding").to_pylist()
+                kind = "<f8" if batch.column("embedding").type.value_type == pa.float64() else "<f4"
                 labels, ids, copies = (batch.column(c).to_numpy() for c in ("label", "id", "copies"))
                 for dim in np.unique(dims).tolist():
                     own = np.flatnonzero(dims == dim)
@@ -131,7 +154,7 @@ def _assign(indexes: dict[int, Index]):
                     role = np.concatenate([np.zeros(len(own), np.int32), np.ones(len(which), np.int32)])
                     at = np.concatenate([np.arange(len(own)), which])
                     slabs = np.concatenate([home1, slab]).astype(np.int32)
-                    packed = [np.array(vectors[i], dtype="<f4").tobytes() for i in own.tolist()]
+                    packed = [np.array(vectors[i], dtype=kind).tobytes() for i in own.tolist()]
                     columns = [labels[own][at].astype(np.int64), np.full(len(at), dim, np.int32), slabs, role, ids[own][at], copies[own][at], home1[at].astype(np.int32), home2[at].astype(np.int32), bound[at]]
                     yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array([packed[i] for i in at.tolist()], pa.binary())], schema=schema)
 
@@ -149,7 +172,7 @@ def _compare(indexes: dict[int, Index], threshold: float):
         data = pa.Table.from_batches(batches).combine_chunks()
         role = data.column("role").to_numpy()
         dim, slab = int(data.column("dim")[0].as_py()), int(data.column("slab")[0].as_py())
-        x = _unit([np.frombuffer(v, dtype="<f4") for v in data.column("vector").to_pylist()])
+        x = _unit([np.frombuffer(v, dtype="<f8" if len(v) == 8 * dim else "<f4") for v in data.column("vector").to_pylist()])
         ids, copies, bound, home1, home2 = (data.column(c).to_numpy() for c in ("id", "copies", "bound", "home1", "home2"))
         home, guest = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
         if not len(home) or not len(guest):
@@ -203,12 +226,15 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, recall: fl
     e = F.col("embedding")
     finite = ~F.exists(e, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     sound = F.coalesce(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.size(e) > 0) & finite & F.exists(e, lambda v: v != 0), F.lit(False))
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<float>").alias("embedding")).withColumn("sound", sound)
+    # components of float columns are floats; all others are taken as doubles
+    held = "array<float>" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast(held).alias("embedding")).withColumn("sound", sound)
     # copies meet by two hashes of the vector, so that long arrays needn't be sorted or shuffled as keys
     keyed = rows.withColumn("k1", F.xxhash64("label", "embedding")).withColumn("k2", F.xxhash64("embedding", "label", F.lit(7)))
     good = keyed.where("sound")
     reps = scratch.write(good.groupBy("k1", "k2").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"), F.min_by("embedding", "vec_id").alias("embedding"), F.min("label").alias("label")).withColumn("dim", F.size("embedding")))
-    sizes = {r["dim"]: r["n"] for r in reps.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n")).limit(20).collect()}
+    # vectors of a length that fit one block are compared without an index
+    sizes = {r["dim"]: r["n"] for r in reps.groupBy("dim").agg(F.count("*").alias("n")).where(F.col("n") > block).collect()}
     indexes: dict[int, Index] = {}
     for dim, n in sizes.items():
         share = min(1.0, SAMPLE / len(sizes) / n)
