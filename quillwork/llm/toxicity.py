@@ -8,12 +8,14 @@ don't count. What a text scores depends on its text alone.
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +29,13 @@ SEEDS = {w: 3.0 for w in ("idiot", "moron", "stupid", "loser", "scum", "worthles
 #: Phrases in which a lexicon word is harmless.
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "class clown", "clown fish", "rodeo clown", "sore loser", "pond scum", "soap scum")
 #: Letters of other scripts and their look-alikes.
-HOMOGLYPHS = dict(zip("абвгеёикмнорстухіїјѕԁһӏαβεικνορτυχωℓıøđł", "abbreeukmhopctyxiijsdhlabeikvoptuxwlioďl".replace("ď", "d"), strict=True))
+HOMOGLYPHS = dict(zip("абвгеёикмнорстухіїјѕԁһӏαβεικνορτυχωℓıøđł", "abbreeukmhopctyxiijsdhlabeikvoptuxwliodl", strict=True))
 #: Digits and signs that stand for letters inside a word.
 DIGITS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "|": "l"})
 #: Most labelled rows of each kind that a lexicon is fitted on.
 SAMPLE = 8_000
-LEXICON_SIZE = 2_000
+#: Most learned terms of a lexicon, and the terms, in the order of their gain, that are looked through for them.
+LEXICON_SIZE, LOOKED_THROUGH = 2_000, 16_000
 
 _PLAIN = re.compile(r"[a-z]+\Z")
 _SIGNS = re.compile(r"(?<=[^\W_])[@$!|](?=[^\W_])")
@@ -97,11 +100,14 @@ def measure(automaton, folded: str) -> tuple[float, int]:
     found = list(automaton.iter(folded))
     if not found:
         return 0.0, 0
-    safe = [(end - n + 1, end) for end, (n, weight) in found if weight is None]
+    safe = sorted((end - n + 1, end) for end, (n, weight) in found if weight is None)
+    begins, reach = [lo for lo, _ in safe], list(accumulate((hi for _, hi in safe), max))
     best: dict[int, float] = {}
     for end, (n, weight) in found:
         at = end - n + 1
-        if weight is not None and not any(lo <= at and end <= hi for lo, hi in safe):
+        # of the phrases that begin here or before, the one that reaches furthest
+        k = bisect.bisect_right(begins, at)
+        if weight is not None and not (k and end <= reach[k - 1]):
             best[at] = max(best.get(at, 0.0), weight)
     return sum(best.values()), len(best)
 
@@ -148,7 +154,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, size: int = LE
     """Learn a lexicon and its calibration from labelled rows that are not held out.
 
     Uses at most about `sample` toxic and `sample` clean documents, chosen by a hash of their id. A term
-    enters if so many toxic rows with it, and so few clean ones, are no chance find among all the terms.
+    enters if so many toxic rows with it, and so few clean ones, are no chance find among all the terms; `size`
+    is the most learned terms that the model has, the strongest ones.
     Rows whose label or id is null, and ids labelled both ways, are not used.
     """
     labels = labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("high")).where("toxic = high").drop("high")
@@ -167,7 +174,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, size: int = LE
     df, hit = F.col("pos") + F.col("neg"), F.col("pos")
     share_hit = hit / df
     gain = hit * F.log(share_hit / rate) + F.when(F.col("neg") > 0, F.col("neg") * F.log((F.col("neg") / df) / (1 - rate))).otherwise(0.0)
-    strong = counted.where((hit >= 2) & (share_hit > 0.7)).withColumn("gain", gain).where(F.col("gain") > 7.0).orderBy(F.desc("gain"), F.desc(F.length("term")), "term").limit(8 * size).collect()
+    strong = counted.where((hit >= 2) & (share_hit > 0.7)).withColumn("gain", gain).where(F.col("gain") > 7.0).orderBy(F.desc("gain"), F.desc(F.length("term")), "term").limit(LOOKED_THROUGH).collect()
     total = max(len(strong), 1)
     terms: dict[str, float] = {f" {w} ": x for w, x in SEEDS.items()}
     heads: set[str] = set()
@@ -240,7 +247,10 @@ def score_documents(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.7) -
 
 
 def keep_clean(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.7) -> DataFrame:
-    """The rows of docs, all their columns, whose text is not toxic. Texts are judged row by row, without a join."""
+    """The rows of docs, all their columns, whose text is not toxic. Texts are judged row by row, without a join.
+
+    Null and empty texts score as texts without matches; repeated rows and null ids are judged like any row.
+    """
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
