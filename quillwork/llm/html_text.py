@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -17,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_blocks
+
 #: Elements whose content is never text.
 SILENT = ("script", "style", "noscript", "template", "svg", "textarea", "select", "iframe", "object", "head", "title", "math", "canvas", "button")
 #: Elements that hold page furniture.
@@ -29,7 +32,10 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 #: Words in a class, id or role that mark furniture.
 MARKS = re.compile(r"(?:^|[\s_\-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|comments?|commentlist|respond|replies|disqus|sidebar|widget|menu|nav\w*|breadcrumbs?|footer|header|masthead|cookies?|consent|notice|gdpr|popup|modal|share|social|related|recommended|newsletter|subscribe|signup|login|search|pagination|pager|toolbar|tags?|copyright|disclaimer|skip|hidden|complementary|navigation|contentinfo|alert)(?:$|[\s_\-])", re.I)
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: A tag; in the second form quotes don't protect a >.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+_LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
+_BEGINS_TAG = re.compile(r"</?[a-zA-Z]")
 _ENDS = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in SILENT}
 _MARKED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
@@ -51,10 +57,17 @@ class Block:
 
 
 def blocks(page: str) -> list[Block]:
-    """The text blocks of a page, in order; blocks without text are left out. Markup may be unclosed or badly nested."""
+    """The text blocks of a page, in order; blocks without text are left out. Markup may be unclosed or badly nested.
+
+    The time is linear in the page. Where a tag never ends, by quotes that never close, quotes of this and all
+    later tags don't count; a < behind which no tag ends is text, like one that begins none.
+    """
     out: list[Block] = []
     parts: list[tuple[str, bool]] = []
     stack: list[tuple[str, bool, bool]] = []  # element, furniture, main
+    opened: Counter[str] = Counter()  # how many of each element are open
+    endless: set[str] = set()  # silent elements whose end tag doesn't come any more
+    pattern = _TAG
     state = [0, 0, 0]  # how many open elements are furniture, main, links
 
     def flush() -> None:
@@ -69,36 +82,57 @@ def blocks(page: str) -> list[Block]:
 
     def close(k: int) -> None:
         while len(stack) > k:
-            _, furniture, main = stack.pop()
+            tag, furniture, main = stack.pop()
+            opened[tag] -= 1
             state[0] -= furniture
             state[1] -= main
 
     at, n = 0, len(page)
     while at < n:
-        m = _TOKEN.search(page, at)
-        if m is None:
+        begin = page.find("<", at)
+        if begin < 0:
             parts.append((page[at:], state[2] > 0))
             break
-        if m.start() > at:
-            parts.append((page[at : m.start()], state[2] > 0))
-        at = m.end()
-        tag = (m[2] or "").lower()
-        if not tag:
-            if m[0].startswith("<![CDATA["):
-                parts.append((html.escape(m[0][9:].removesuffix("]]>")), state[2] > 0))
+        if begin > at:
+            parts.append((page[at:begin], state[2] > 0))
+        if page.startswith(("<!", "<?"), begin):
+            if page.startswith("<!--", begin):
+                end = page.find("-->", begin + 4)
+                at = end + 3 if end >= 0 else n
+            elif page.startswith("<![CDATA[", begin):
+                end = page.find("]]>", begin)
+                parts.append((html.escape(page[begin + 9 : end if end >= 0 else n]), state[2] > 0))
+                at = end + 3 if end >= 0 else n
+            else:
+                end = page.find(">", begin)
+                at = end + 1 if end >= 0 else n
             continue
+        if not _BEGINS_TAG.match(page, begin):
+            parts.append(("<", state[2] > 0))
+            at = begin + 1
+            continue
+        m = pattern.match(page, begin)
+        if m is None and pattern is _TAG:
+            pattern = _LOOSE_TAG
+            m = pattern.match(page, begin)
+        if m is None:
+            parts.append((page[begin:], state[2] > 0))
+            break
+        at = m.end()
+        tag = m[2].lower()
         if m[1]:
             if tag == "a":
                 state[2] = 0
             elif tag in BLOCKS:
                 flush()
-                k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-                if k is not None:
-                    close(k)
+                if opened[tag]:
+                    close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag))
             continue
         if tag in _ENDS:
-            end = _ENDS[tag].search(page, at)
             if not m[3].endswith("/") or tag == "script":
+                end = _ENDS[tag].search(page, at) if tag not in endless else None
+                if end is None:
+                    endless.add(tag)
                 # an unclosed head or title must not swallow the page
                 at = end.end() if end else (n if tag in ("script", "style", "textarea", "iframe") else at)
             continue
@@ -115,6 +149,7 @@ def blocks(page: str) -> list[Block]:
                 inside_main = state[1] > 0
                 furniture = tag in FURNITURE and not (tag == "header" and inside_main) or bool(named and MARKS.search(named)) and tag not in ("body", "html") or bool(_HIDDEN.search(m[3]))
                 stack.append((tag, furniture, tag in MAIN))
+                opened[tag] += 1
                 state[0] += furniture
                 state[1] += tag in MAIN
     flush()
@@ -204,10 +239,8 @@ def extract(pages: DataFrame, tree: Node | None = None) -> DataFrame:
     """page_id, url, text, n_chars for every row of pages, whole html. Null html is empty; ids and urls are kept as they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo in range(0, b.num_rows, 500):
-                part = b.slice(lo, 500)
-                found = [main_text(h, tree) for h in part.column("html").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(found, pa.string()), pa.array(list(map(len, found)), pa.int64())], names=["page_id", "url", "text", "n_chars"])
+        for part in text_blocks(batches, "html"):
+            found = [main_text(h, tree) for h in part.column("html").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(found, pa.string()), pa.array(list(map(len, found)), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")
