@@ -23,6 +23,8 @@ BITS = 14
 DIM = 16
 #: Most training documents of one language.
 SAMPLE = 1_000
+#: Of a training document the driver gets so many passages of so many words of so many letters at most.
+PASSAGES, PASSAGE_WORDS, MOST_LETTERS = 8, 60, 64
 #: Share of the known-language documents that calibration lets the rejection turn away.
 REJECTS = 0.001
 UNKNOWN = "und"
@@ -154,6 +156,15 @@ def train(rows: list[tuple[str, str]], epochs: int = 4, seed: int = 7, rate: flo
     return model
 
 
+def _passages(text: str) -> str:
+    """What training sees of a text: all of it, or of a long one PASSAGES stretches of PASSAGE_WORDS words from its whole length."""
+    words = text.split()
+    if len(words) <= PASSAGES * PASSAGE_WORDS:
+        return " ".join(w[:MOST_LETTERS] for w in words)
+    step = (len(words) - PASSAGE_WORDS) / (PASSAGES - 1)
+    return " ".join(w[:MOST_LETTERS] for k in range(PASSAGES) for w in words[int(k * step) : int(k * step) + PASSAGE_WORDS])
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     """Learn from text and non-null lang of the rows that are not held out; at most about `sample` documents a language, chosen by a hash of the id. None without such rows."""
     rows = docs.where("lang is not null and text is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
@@ -161,7 +172,12 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     if not counts:
         return None
     share = F.element_at(F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, sample / n))]), F.col("lang"))
-    picked = rows.where(unit_hash(F.col("doc_id"), seed=5) < share).select("doc_id", "text", "lang").collect()
+
+    def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in text_blocks(batches):
+            yield block.set_column(1, "text", pa.array([_passages(t) for t in texts(block)], pa.string()))
+
+    picked = rows.where(unit_hash(F.col("doc_id"), seed=5) < share).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").mapInArrow(passages, "doc_id long, text string, lang string").collect()
     return train([(r["text"], r["lang"]) for r in sorted(picked, key=lambda r: (r["doc_id"], r["text"], r["lang"]))])
 
 
