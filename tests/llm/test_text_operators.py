@@ -310,3 +310,89 @@ def test_local_search_wins_bins_where_best_fit_is_not_optimal():
         got = packing.local_search(start, sizes, 4096)
         assert sorted(i for b in got for i in b) == list(range(len(sizes))) and all(sum(sizes[i] for i in b) <= 4096 for b in got)
         assert len(got) <= len(start) - least, (len(start), len(got))
+
+
+def seconds(run, *args):
+    import time
+
+    began = time.time()
+    run(*args)
+    return time.time() - began
+
+
+def test_hostile_pages_take_linear_time():
+    pages = ["<a " * 300_000, "<div>" * 60_000 + "</p>" * 60_000, "<button>x" * 100_000, '<a " ' * 200_001 + ">", "<!-" * 300_000, "<" * 500_000, "<svg>x" * 100_000, '<p class="' + "nav_" * 200_000 + '">x</p>']
+    for page in pages:
+        assert seconds(html_text.main_text, page) < 5, page[:20]
+    assert html_text.blocks('<p>one <b>two</p><p title="a > b">three</p>')[1].text == "three"
+    assert [b.text for b in html_text.blocks('<p>1 < 2</p><p title="open>x</p><p>y</p>')] == ["1 < 2", "x", "y"]
+
+
+def test_hostile_texts_take_linear_time():
+    lexicon = toxicity.Lexicon()
+    automaton, folder = lexicon.automaton(), toxicity.Folder()
+    assert seconds(lambda: toxicity.measure(automaton, folder("trash can " * 100_000))) < 5
+    one, two = "abcdefg " * 50_000, "word " * 80_000
+    other = fingerprint.edited(two, "another text that is quite unlike it " * 4_000)
+    assert seconds(lambda: fingerprint.likeness(fingerprint.fingerprint(one), fingerprint.fingerprint(two))) < 2
+    assert fingerprint.likeness(fingerprint.fingerprint(two), fingerprint.fingerprint(other)) > 0.6
+
+
+def test_measure_is_a_naive_search():
+    import random
+
+    r = random.Random(4)
+    terms = {" ab": 1.0, " abc ": 2.5, " ca ": 1.5, " b": 0.5}
+    lexicon = toxicity.Lexicon(terms, exceptions=("abc ca", "ca ab b"))
+    automaton = lexicon.automaton()
+    for _ in range(300):
+        text = " " + " ".join(r.choice(["ab", "abc", "ca", "b", "abcd", "x"]) for _ in range(r.randint(0, 12))) + " "
+        safe = [(i, i + len(p) + 2) for p in lexicon.exceptions for i in range(len(text)) if text.startswith(f" {p} ", i)]
+        best = {}
+        for term, weight in terms.items():
+            for i in range(len(text)):
+                if text.startswith(term, i) and not any(lo <= i and i + len(term) <= hi for lo, hi in safe):
+                    best[i] = max(best.get(i, 0.0), weight)
+        assert toxicity.measure(automaton, text) == (sum(best.values()), len(best))
+
+
+def test_fingerprint_is_a_naive_rolling_hash():
+    import random
+
+    r = random.Random(6)
+    mask = (1 << 32) - 1
+    for _ in range(12):
+        text = "".join(r.choice("abc deé中") for _ in range(r.randint(1, 900)))
+        data = text.encode()
+        size = 3
+        while len(data) // size >= 64:
+            size *= 2
+        signatures = []
+        for scale in (size, 2 * size):
+            letters, begin = "", 0
+            for at in range(len(data)):
+                rolled = sum((int(fingerprint._ROLL[data[at - k]]) >> k) * (2 * k + 1) for k in range(7) if at >= k) & mask
+                hit = (((rolled * 0x9E3779B1) & mask) >> 8) % scale == 0
+                length = at + 1 - begin
+                if hit and length >= max(1, scale // 4) or length == 2 * scale or at == len(data) - 1:
+                    value = 0
+                    for k, b in enumerate(data[begin : at + 1]):
+                        value += int(fingerprint._BYTE[b]) * pow(0x9E3779B97F4A7C15, k, 1 << 64)
+                    letters += chr(fingerprint.ALPHABET[((value * 0xD6E8FEB86659FD93) % (1 << 64)) >> 58])
+                    begin = at + 1
+            signatures.append(letters)
+        assert fingerprint.fingerprint(text) == f"{size}:{signatures[0]}:{signatures[1]}"
+
+
+def test_next_rows_across_many_ranges(spark):
+    """Ranges of a few rows, ids that repeat over several of them, null ids: every row meets the next one."""
+    import random
+
+    r = random.Random(3)
+    rows = [(r.choice([None, 5, 5, 5, 6, *range(10, 60)]), f"text {i} {r.random()}" if i % 7 else "same") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    order = [(x.doc_id, x.text) for x in df.withColumn("h", F.xxhash64("text")).orderBy(F.col("doc_id").asc_nulls_first(), "h", "text").collect()]
+    want = sorted((-1 if i is None else i, hashlib.sha256(fingerprint.edited(t, order[(k + 1) % len(order)][1]).encode()).hexdigest()) for k, (i, t) in enumerate(order))
+    for size in (7, 50, 4_000):
+        got = sorted((-1 if x.doc_id is None else x.doc_id, x.edited_sha256) for x in fingerprint.compare_with_next(df, size).collect())
+        assert got == want, size
