@@ -6,12 +6,12 @@ from collections.abc import Callable
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Texts that mean "no value" (fixed values).
 NULLISH = ("", "nan", "none", "{}", "[]", "null")
-#: Named character references that strip_html decodes beside numeric ones; `amp` comes last.
+#: Named character references that strip_html decodes beside all numeric ones; `amp` comes last.
 ENTITIES = {"nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "eacute": "é", "egrave": "è", "agrave": "à", "ccedil": "ç", "ouml": "ö", "uuml": "ü", "auml": "ä", "szlig": "ß", "ntilde": "ñ", "times": "×", "ndash": "–", "mdash": "—", "hellip": "…", "rsquo": "’", "lsquo": "‘", "rdquo": "”", "ldquo": "“", "copy": "©", "middot": "·", "amp": "&"}
 
 
@@ -48,12 +48,32 @@ def html_to_text(c: Column) -> Column:
     return trim_all(F.regexp_replace(c, r"\n{3,}", "\n\n"))
 
 
+def _numeric_references(c: Column) -> Column:
+    """&#233; and &#xe9; as the characters that they name; numbers that name none stay."""
+    point = lambda x: F.when(F.lower(F.substring(x, 3, 1)) == "x", F.conv(F.regexp_extract(x, r"([0-9a-fA-F]+);$", 1), 16, 10)).otherwise(F.regexp_extract(x, r"(\d+);$", 1)).try_cast("int")
+    letter = lambda n: F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    known = lambda n: (n > 0) & (n < 0x110000) & ~n.between(0xD800, 0xDFFF)
+    found = F.array_distinct(F.regexp_extract_all(c, F.lit(r"(&#(?:\d{1,7}|[xX][0-9a-fA-F]{1,6});)"), F.lit(1)))
+    decoded = F.aggregate(found, c, lambda text, x: F.replace(text, x, F.when(known(point(x)), letter(point(x))).otherwise(x)))
+    return F.when(c.contains("&#"), decoded).otherwise(c)
+
+
+def parsed_once(df: DataFrame, column: str, name: str, parse: Callable[[Column], Column]) -> DataFrame:
+    """df with a column `name`, parse(column), worked out once for each different text and joined back.
+
+    For costly parsers over texts that repeat, as dates and measures do: few different texts are broadcast by
+    the planner, many are joined by hash. A null text meets its own result too.
+    """
+    texts = df.select(F.col(column).alias("__text")).distinct().withColumn(name, parse(F.col("__text")))
+    return df.join(texts, F.col(column).eqNullSafe(F.col("__text")), "left").drop("__text")
+
+
 def strip_html(c: Column) -> Column:
     """One line per line of text: <br> is a blank, tags go (across lines too), references are decoded, blanks are squeezed. Null gives ''."""
     c = F.regexp_replace(c, r"(?i)<br\s*/?>", " ")
     c = F.regexp_replace(c, r"(?s)<[^>]+>", "")
     c = reduce(lambda x, e: F.replace(x, F.lit(f"&{e[0]};"), F.lit(e[1])), ENTITIES.items(), c)
-    c = F.replace(c, F.lit(" "), F.lit(" "))
+    c = F.replace(_numeric_references(c), F.lit("\u00a0"), F.lit(" "))
     lines = F.transform(F.split(c, "\n"), lambda x: F.trim(F.regexp_replace(x, r"[ \t]+", " ")))
     return F.coalesce(trim_all(F.array_join(lines, "\n")), F.lit(""))
 
@@ -136,8 +156,8 @@ def anonymous(c: Column) -> Column:
 
 
 #: What marks a name as no person's (fixed values), for injection and for profiles.
-ANONYMOUS_TOKENS = ("unknown", "anonymous", "unidentified", "workshop", "school", "circle of")
-ATTRIBUTION_TOKENS = ("unknown", "anonymous", "unidentified", "workshop", "circle of", "follower of", "manner of", "school of", "attributed to")
+ANONYMOUS_TOKENS = ("unknown", "anonymous", "unidentified", "attributed to", "style of", "manner of")
+ATTRIBUTION_TOKENS = ("unknown", "anonymous", "unidentified", "attributed to", "workshop of", "circle of", "school of", "style of", "follower of")
 
 
 def anonymous_for_injection(c: Column, compat: bool = False) -> Column:

@@ -18,18 +18,21 @@ def ordinal(n: int) -> str:
     return f"{n}{'th' if 10 <= n % 100 <= 20 else {1: 'st', 2: 'nd', 3: 'rd'}.get(n % 10, 'th')}"
 
 
+#: "in or before" and "in or after" a year of three or four digits, whose month and day don't count.
+_BOUND = r"in\s+or\s+%s\s+(\d{3,4})(?:-\d{2}-\d{2})?"
+_UNSURE = ("possibly", "probably", "perhaps", "maybe", "about", "circa")
 #: The rewrites of the normaliser in order: name, pattern, replacement. Java syntax.
 RULES: list[tuple[str, str, str]] = [
-    ("open range", r"^(\d{3,4})\s*-\s*in or (?:before|after) (\d{3,4})(?:-\d{2}-\d{2})?$", "$1-$2"),
-    ("open start", r"^in or (before|after) (\d{3,4})(?:-\d{2}-\d{2})?$", "$1 $2"),
-    ("leading doubt", r"(?i)^(?:possibly|probably|maybe|perhaps|circa|about|ca?\.?)\s+(?=\S)", "ca. "),
+    ("bounded end", rf"(?i)^(\d{{3,4}})\s*-\s*{_BOUND % '(?:before|after)'}$", "$1-$2"),
+    ("bounded alone", rf"(?i)^{_BOUND % '(before|after)'}$", "$1 $2"),
+    ("leading doubt", rf"(?i)^(?:{'|'.join(_UNSURE)}|ca?\.?)\s+(?=\S)", "ca. "),
     ("centuries", r"(?i)\bcenturies\b", "century"),
     ("dash blanks", r"\s*-\s*", "-"),
     ("century pair", r"(?i)(\d+(?:st|nd|rd|th))\s+century-(\d+(?:st|nd|rd|th))", "$1-$2"),
     ("bce", r"(?i)\bB\.?\s?C\.?(?:\s?E\.?)?(?=[\s\-)]|$)", "BCE"),
     ("ce", r"(?i)\b(?:A\.?\s?D\.?|C\.\s?E\.?|CE)(?=[\s\-)]|$)", "CE"),
     ("doubt in brackets", r"\(\?\)", "?"),
-    ("inner doubt", r"(?i)\b(?:possibly|probably|maybe|perhaps|circa|about)\b", "ca."),
+    ("inner doubt", rf"(?i)\b(?:{'|'.join(_UNSURE)})\b", "ca."),
     ("trailing doubt", r"^(.*?)\s*\?\s*$", "ca. $1"),
     *[(f"ordinal {word}", rf"(?i)\b{word}(?=[\s\-]+(?:century|millennium|quarter|half)|-\d+(?:st|nd|rd|th) century)", ordinal(k + 1)) for k, word in sorted(enumerate(ORDINALS), key=lambda x: -len(x[1]))],
     ("quarter of the", r"(?i)\b(quarter|half)\s+(?:of\s+)?(?:the\s+)?(?=\d+(?:st|nd|rd|th))", "$1 of the "),
@@ -43,7 +46,7 @@ RULES: list[tuple[str, str, str]] = [
 ]
 
 _C = r"\d{1,2}(?:st|nd|rd|th)"
-_M = r"(?:early|mid|late)"
+_M = r"(?:early|middle|mid|late)(?: of the)?"
 _Y = r"\d{1,4}"
 _E = r"(?: (?:BCE|CE))"
 _SHAPES = (
@@ -88,15 +91,10 @@ def _int(c: Column) -> Column:
     return c.try_cast("int")
 
 
-def _section(start: Column, span: int, low: int, high: int, bce: Column) -> tuple[Column, Column]:
-    """Bounds of years low..high of a period that starts at start (CE) or counts down from it (BCE)."""
-    return F.when(bce, start - low).otherwise(start + low), F.when(bce, start - high).otherwise(start + high)
-
-
 def _mod_bounds(mod: Column, start: Column, bce: Column, cuts: tuple[tuple[int, int], tuple[int, int], tuple[int, int]], span: int) -> tuple[Column, Column]:
     """Bounds of the early, mid or late part, or of the whole, of a period."""
-    low = F.when(mod == "early", cuts[0][0]).when(mod == "mid", cuts[1][0]).when(mod == "late", cuts[2][0]).otherwise(0)
-    high = F.when(mod == "early", cuts[0][1]).when(mod == "mid", cuts[1][1]).when(mod == "late", cuts[2][1]).otherwise(span - 1)
+    low = F.when(mod == "early", cuts[0][0]).when(mod.isin("mid", "middle"), cuts[1][0]).when(mod == "late", cuts[2][0]).otherwise(0)
+    high = F.when(mod == "early", cuts[0][1]).when(mod.isin("mid", "middle"), cuts[1][1]).when(mod == "late", cuts[2][1]).otherwise(span - 1)
     return F.when(bce, start - low).otherwise(start + low), F.when(bce, start - high).otherwise(start + high)
 
 
@@ -143,7 +141,8 @@ def _bounds(core: Column, bce: Column) -> Column:
     def struct(b: Column, e: Column, b_bce: Column, e_bce: Column) -> Column:
         return F.struct(b.cast("int").alias("b"), e.cast("int").alias("e"), b_bce.alias("bb"), e_bce.alias("eb"))
 
-    mod = r"(?:(early|mid|late)[\s\-]+)?"
+    # text behind a century or millennium doesn't matter
+    mod = r"(?:(early|middle|mid|late)[\s\-]+(?:of\s+the\s+)?)?"
     nth = r"(\d{1,2})(?:st|nd|rd|th)"
     side = r"(?:\s+(bce|ce))?"
     branches: list[tuple[str, Column]] = []
@@ -152,7 +151,7 @@ def _bounds(core: Column, bce: Column) -> Column:
     iso = _int(F.coalesce(F.nullif(group(p, 1), F.lit("")), group(p, 4)))
     branches.append((r"^\d{4}-\d{2}-\d{2}$", struct(iso, iso, bce, bce)))
 
-    p = rf"^(1st|2nd|3rd|4th|last)\s+(quarter|half)\s+of\s+the\s+{nth}\s+century$"
+    p = rf"^(1st|2nd|3rd|4th|last)\s+(quarter|half)\s+of\s+the\s+{nth}\s+century"
     span = F.when(group(p, 2) == "quarter", 25).otherwise(50)
     k = F.when(group(p, 1) == "last", F.when(group(p, 2) == "quarter", 4).otherwise(2)).otherwise(_int(F.substring(group(p, 1), 1, 1)))
     start = _start(_int(group(p, 3)), 100, bce)
@@ -161,8 +160,8 @@ def _bounds(core: Column, bce: Column) -> Column:
 
     for unit, size, cuts in (("millennium", 1000, _MILLENNIUM), ("century", 100, _CENTURY)):
         if unit == "century":
-            p = rf"^{mod}{nth}(?:\s+century)?{side}-{mod}{nth}\s+century$"
-            own = rf"^{mod}{nth}\s+century\s+(?:bce|ce)-{mod}{nth}\s+century$"
+            p = rf"^{mod}{nth}(?:\s+century)?{side}-{mod}{nth}\s+century"
+            own = rf"^{mod}{nth}\s+century\s+(?:bce|ce)-{mod}{nth}\s+century"
             b1 = F.when(group(p, 3) != "", group(p, 3) == "bce").otherwise(bce)
             two = struct(
                 _mod_bounds(group(p, 1), _start(_int(group(p, 2)), size, b1), b1, cuts, size)[0],
@@ -170,12 +169,12 @@ def _bounds(core: Column, bce: Column) -> Column:
             branches.append((own, two))
             branches.append((p, two))
         else:
-            p = rf"^{mod}{nth}(?:\s+millennium)?-{mod}{nth}\s+millennium$"
+            p = rf"^{mod}{nth}(?:\s+millennium)?-{mod}{nth}\s+millennium"
             branches.append((p, struct(
                 _mod_bounds(group(p, 1), _start(_int(group(p, 2)), size, bce), bce, cuts, size)[0],
                 _mod_bounds(group(p, 3), _start(_int(group(p, 4)), size, bce), bce, cuts, size)[1], bce, bce)))
     for unit, size, cuts in (("millennium", 1000, _MILLENNIUM), ("century", 100, _CENTURY)):
-        p = rf"^(?:the\s+)?{mod}{nth}\s+{unit}$"
+        p = rf"^(?:the\s+)?{mod}{nth}\s+{unit}"
         low, high = _mod_bounds(group(p, 1), _start(_int(group(p, 2)), size, bce), bce, cuts, size)
         branches.append((p, struct(low, high, bce, bce)))
 

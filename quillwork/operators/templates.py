@@ -10,20 +10,25 @@ from pyspark.sql import functions as F
 from ..functions.lists import get_numbers, get_strings
 from ..functions.text import nullish
 
-#: Masks of the dimension template in order: pattern and mask. Label classes come after units.
+#: Words behind each mask of the dimension template, in the order of the masks (fixed values).
+MASK_WORDS = {
+    "<CM>": "cm mm",
+    "<IN>": "in inches",
+    "<WT>": "g kg oz lb",
+    "<H>": "h height heights hght",
+    "<W>": "w width widths wdth",
+    "<D>": "d depth dpth",
+    "<L>": "l length len",
+    "<DIAM>": "diam diameter dia",
+    "<WEIGHT>": "wt weight",
+    "<THICK>": "th thickness thick",
+    "<MOD>": "max min overall sheet image plate paper mount mounts frame",
+}
+#: Patterns and masks in order: signs of multiplication, numbers and fractions, then words, whose dot, and a modifier's colon, go with them.
 DIMENSION_MASKS: tuple[tuple[str, str], ...] = (
+    (r"\s*[×x]\s*", " x "),
     (r"\d+[\s\-]+\d+/\d+|\d+/\d+|\d+(?:\.\d+)?", "<NUM>"),
-    (r"\b(?:cm|mm|centimet(?:er|re)s?|millimet(?:er|re)s?)\b\.?", "<CM>"),
-    (r"\b(?:inches|inch|in)\b\.?", "<IN>"),
-    (r"\b(?:kg|g|grams?|kilograms?|lbs?|pounds?|oz|ounces?)\b\.?", "<WT>"),
-    (r"\b(?:diameter|diam)\b\.?", "<DIAM>"),
-    (r"\b(?:height|h)\b\.?", "<HEIGHT>"),
-    (r"\b(?:width|w)\b\.?", "<WIDTH>"),
-    (r"\b(?:depth|d)\b\.?", "<DEPTH>"),
-    (r"\b(?:length|l)\b\.?", "<LENGTH>"),
-    (r"\b(?:weight|wt)\b\.?", "<WEIGHT>"),
-    (r"\b(?:thickness|thick)\b\.?", "<THICK>"),
-    (r"\b(?:overall|max(?:imum)?|min(?:imum)?|approx(?:imate(?:ly)?)?|each)\b\.?", "<MOD>"),
+    *((rf"\b(?:{'|'.join(words.split())})\b\.?{':?' if mask == '<MOD>' else ''}", mask) for mask, words in MASK_WORDS.items()),
 )
 #: Unit factors by which an example's number may differ from its solution's (fixed values).
 MULTIPLIERS = (1.0, 2.54, 0.1, 100.0, 30.48, 1000.0, 453.592, 28.349)
@@ -35,7 +40,8 @@ def mask_dimensions(c: Column) -> Column:
 
 
 def mask_dates(c: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(c), r"\d+", "<NUM>"), r"\s+", " "))
+    """A mask stands for four digits at most, so that longer numbers differ from years."""
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(c), r"\d{1,4}", "<NUM>"), r"\s+", " "))
 
 
 def mask_artists(c: Column) -> Column:

@@ -429,10 +429,56 @@ def rendered_dates(spark, d):
 
 @query("date_parse", _RENDERED_SQL)
 def date_parse(spark, d):
-    rows = rendered_dates(spark, d).withColumn("normalized", dates.normalize_date(F.col("raw"))).withColumn("p", dates.parse_with_fallback(F.col("raw"), F.col("normalized")))
+    def parse(raw):
+        return text.let(dates.normalize_date(raw), lambda n: F.struct(n.alias("normalized"), dates.parse_with_fallback(raw, n).alias("p")))
+
+    rows = text.parsed_once(rendered_dates(spark, d), "raw", "x", parse).select("o_orderkey", "x.*")
     return rows.select("o_orderkey", "normalized", "p.date_begin", "p.date_end", F.col("p.date_begin_bce").alias("bce"))
 
 
+_WHO = ("", "Unknown ", "anonymous ", "Unidentified ", "attributed to ", "Style of ", "manner of ", "workshop of ", "Circle of ", "school of ", "follower of ", "Workshop ", "School ")
+
+
+def _who(spark, d):
+    """Supplier names with and without the phrases that mark them as no person's."""
+    k = (F.col("s_suppkey") % len(_WHO) + 1).cast("int")
+    return t(spark, d, "supplier").select("s_suppkey", F.concat(F.element_at(F.array(*map(F.lit, _WHO)), k), F.col("s_name")).alias("name"))
+
+
+@query("anonymous_names", f"""WITH n AS (SELECT s_suppkey, lower([{', '.join(map(repr, _WHO))}][s_suppkey % {len(_WHO)} + 1] || s_name) AS n FROM supplier)
+SELECT s_suppkey, regexp_matches(n, 'unknown|anonymous|unidentified|attributed to|style of|manner of') AS injected, regexp_matches(n, 'unknown|anonymous|unidentified|attributed to|workshop of|circle of|school of|style of|follower of') AS profiled FROM n""")
+def anonymous_names(spark, d):
+    return _who(spark, d).select("s_suppkey", text.anonymous_for_injection(F.col("name")).alias("injected"), text.attributed(F.col("name")).alias("profiled"))
+
+
+@query("dimension_masks", r"""WITH x AS (SELECT p_partkey, ['Sheet: ', 'image ', 'Plate. ', 'Frame: ', 'overall: ', 'H. ', 'Dia. '][p_partkey % 7 + 1] || p_size || [' 1/2', '.5', '', '-3/4'][p_partkey % 4 + 1] || ['×', ' x ', 'X'][p_partkey % 3 + 1] || p_partkey || [' cm', ' in.', ' lb'][p_partkey % 3 + 1] AS raw FROM part)
+SELECT p_partkey, ['<MOD> ', '<MOD> ', '<MOD> ', '<MOD> ', '<MOD> ', '<H> ', '<DIAM> '][p_partkey % 7 + 1] || '<NUM> x <NUM>' || [' <CM>', ' <IN>', ' <WT>'][p_partkey % 3 + 1] AS template, length(raw) AS n FROM x""")
+def dimension_masks(spark, d):
+    k = F.col("p_partkey")
+    pick = lambda *words: F.element_at(F.array(*map(F.lit, words)), (k % len(words) + 1).cast("int"))
+    raw = F.concat(pick("Sheet: ", "image ", "Plate. ", "Frame: ", "overall: ", "H. ", "Dia. "), F.col("p_size").cast("string"), pick(" 1/2", ".5", "", "-3/4"), pick("×", " x ", "X"), k.cast("string"), pick(" cm", " in.", " lb"))
+    return t(spark, d, "part").select("p_partkey", templates.mask_dimensions(raw).alias("template"), F.length(raw).cast("long").alias("n"))
+
+
+@query("date_parts_of_centuries", """WITH x AS (SELECT o_orderkey, o_orderkey % 5 AS k, 2 + o_orderkey % 18 AS c FROM orders), y AS (SELECT *, (c - 1) * 100 + 1 AS s FROM x)
+SELECT o_orderkey, CASE k WHEN 0 THEN s + 33 WHEN 1 THEN s + 33 WHEN 2 THEN s WHEN 3 THEN s + 66 ELSE s END AS date_begin, CASE k WHEN 0 THEN s + 65 WHEN 1 THEN s + 65 WHEN 2 THEN s + 32 WHEN 3 THEN s + 99 ELSE s + 99 END AS date_end FROM y""")
+def date_parts_of_centuries(spark, d):
+    """'middle', 'of the' and text behind the century."""
+    c = F.col("o_orderkey") % 18 + 2
+    nth = F.concat(c.cast("string"), F.when(c == 2, "nd").when(c == 3, "rd").otherwise("th"), F.lit(" century"))
+    k = F.col("o_orderkey") % 5
+    raw = F.when(k == 0, F.concat(F.lit("middle "), nth)).when(k == 1, F.concat(F.lit("middle of the "), nth)).when(k == 2, F.concat(F.lit("early of the "), nth, F.lit(", reworked"))).when(k == 3, F.concat(F.lit("late "), nth, F.lit(" and later"))).otherwise(F.concat(nth, F.lit(" style")))
+    rows = text.parsed_once(t(spark, d, "orders").select("o_orderkey", raw.alias("raw")), "raw", "p", dates.parse_date)
+    return rows.select("o_orderkey", "p.date_begin", "p.date_end")
+
+
+@query("numeric_references", r"SELECT p_partkey, chr(200 + p_size) || chr(8200 + p_size + 20) || ' &#0; ' || chr(128500 + p_size) || ' & ' || p_name AS text FROM part")
+def numeric_references(spark, d):
+    size = F.col("p_size")
+    html = F.concat(F.lit("<p>&#"), (size + 200).cast("string"), F.lit(";&#x"), F.hex(size + 8220), F.lit("; &#0; &#"), (size + 128500).cast("string"), F.lit("; &amp; </p>"), F.col("p_name"))
+    return t(spark, d, "part").select("p_partkey", text.strip_html(html).alias("text"))
+
+
 @query("date_normalize", "SELECT o_orderkey, normalized FROM (" + _RENDERED_SQL + ")")
 def date_normalize(spark, d):
     return rendered_dates(spark, d).select("o_orderkey", dates.normalize_date(F.col("raw")).alias("normalized"))
@@ -461,7 +507,8 @@ CASE k WHEN 0 THEN CAST(s + 0.5 AS DOUBLE) WHEN 1 THEN round(s * 0.1, 2) WHEN 2
 
 @query("dimension_parse", _DIMENSION_SQL)
 def dimension_parse(spark, d):
-    rows = rendered_dimensions(spark, d).withColumn("p", dimensions.parse_dimensions(F.col("raw"))).withColumn("again", dimensions.reparse_dimensions(dimensions.format_dimensions(F.col("p.dims"))))
+    rows = text.parsed_once(rendered_dimensions(spark, d), "raw", "p", dimensions.parse_dimensions)
+    rows = text.parsed_once(rows.withColumn("shown", dimensions.format_dimensions(F.col("p.dims"))), "shown", "again", dimensions.reparse_dimensions)
     first = dimensions.first_part_pivot(F.col("again"))
     return rows.select("p_partkey", "p.pattern_name", first["height"].alias("height"), first["width"].alias("width"))
 
