@@ -108,16 +108,16 @@ def test_marks_never_rule_out_more_than_differs():
 
 
 def test_ngram_join_of_a_large_group_verifies_few_pairs(spark, tmp_path, monkeypatch):
-    """2,000 near copies, each like a part of the others only: the classes are those of brute force, with few verified pairs for each text."""
+    """600 near copies, each like a part of the others only: the classes are those of brute force, with few verified pairs for each text."""
     r = random.Random(8)
     base = [f"w{i}" for i in range(60)]
     rows = []
-    for i in range(2_000):
+    for i in range(600):
         w = list(base)
         for _ in range(r.randint(0, 2)):
             w[r.randrange(60)] = f"x{r.randrange(10**6)}"
         rows.append((i, " ".join(w)))
-    rows += [(5_000 + i, " ".join(base[:12]) + " " + " ".join(f"o{i}q{k}" for k in range(40))) for i in range(300)]
+    rows += [(5_000 + i, " ".join(base[:12]) + " " + " ".join(f"o{i}q{k}" for k in range(40))) for i in range(100)]
     verify = ngram_join._verify
 
     def counted(size):
