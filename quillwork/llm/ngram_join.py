@@ -17,7 +17,7 @@ A document's set holds its distinct 5-word shingles as 64-bit hashes. Steps:
    verified on the texts; the pairs that the links found so far have joined are done, the others go on.
 5. In the lists only sets of different components can still matter. A list with many such pairs gets a few
    hubs a round, as long as rounds join its components; the others, and those that rounds don't help, give all
-   remaining pairs with enough shingles behind the shared one. No pair is left out, and a group of near copies
+   remaining pairs with enough shingles behind the shared one, compared by mark in blocks. No pair is left out, and a group of near copies
    costs its stars.
 
 Null ids can't be named by a component: such rows link with nothing and their component is null. Empty and
@@ -31,7 +31,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -55,6 +55,8 @@ HUBS, FEW = 4, 4
 MANY = 4
 #: Remaining pairs of all lists, for each document, that are tested at once.
 EACH = 2
+#: Entries of a part of a long list, and remaining pairs that one group of blocks compares, about.
+BLOCK, GROUP_PAIRS = 1_024, 50_000
 #: A further round of hubs must have left at most this share of a list's remaining pairs.
 PROGRESS = 0.6
 #: Buckets that one row of sketch counts holds.
@@ -305,6 +307,37 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], names=["a", "b"])
 
 
+ALIKE = "hub long, own long"
+
+
+def _list_pairs(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Worker for some blocks of lists: the pairs (hub, own) of a block that the sizes, what is left of both sets, and their marks don't rule out.
+
+    A block (i, j) of a list compares its entries of parts i and j; a list of ordinary length is one block.
+    """
+    data = pa.Table.from_batches(batches).sort_by([("shingle", "ascending"), ("i", "ascending"), ("j", "ascending")])
+    shingle, i, j, part, sig, n, left, component = (data.column(c).to_numpy() for c in ("shingle", "i", "j", "part", "sig", "n", "left", "component"))
+    mark = data.column("mark").to_pylist()
+    first = np.flatnonzero(np.concatenate([[True], (shingle[1:] != shingle[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
+    found: set[tuple[int, int]] = set()
+    for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(data)], strict=True):
+        one, two = lo + np.flatnonzero(part[lo:hi] == i[lo]), lo + np.flatnonzero(part[lo:hi] == j[lo])
+        for at in range(0, len(one), 256):
+            x, y = one[at : at + 256, None], two[None, :]
+            both = n[x].astype(np.int64) + n[y]
+            ok = (component[x] != component[y]) & (np.minimum(n[x], n[y]).astype(np.int64) * DEN >= np.maximum(n[x], n[y]).astype(np.int64) * NUM)
+            # the first shingle that two similar sets share has enough of both behind it
+            ok &= np.minimum(left[x], left[y]).astype(np.int64) * (NUM + DEN) >= both * NUM
+            ok &= (sig[x] < sig[y]) | (i[lo] != j[lo])
+            a, b = np.nonzero(ok)
+            most = both[a, b] - 2 * _ceil_share(both[a, b], NUM, NUM + DEN)
+            for p, q, k in zip(x[a, 0].tolist(), two[b].tolist(), most.tolist(), strict=True):
+                if differ_at_least(mark[p], mark[q]) <= k:
+                    found.add((min(int(sig[p]), int(sig[q])), max(int(sig[p]), int(sig[q]))))
+    hubs, owns = zip(*found, strict=True) if found else ((), ())
+    yield pa.RecordBatch.from_arrays([pa.array(hubs, pa.int64()), pa.array(owns, pa.int64())], names=["hub", "own"])
+
+
 def _verify(size: int):
     """Worker: the pairs (a, b) of texts whose sets are similar enough."""
 
@@ -343,8 +376,8 @@ class _Settler:
             return rows.withColumn(f"component_{column}", F.col(column))
         return rows.join(self.found.select(F.col("id").alias(column), "component"), column, "left").withColumn(f"component_{column}", F.coalesce("component", column)).drop("component")
 
-    def settle(self, candidates: DataFrame, turn: int) -> None:
-        """Verify candidates (hub, own) that lie in two components, until no such pair is left that isn't refuted.
+    def settle(self, candidates: DataFrame, turn: int, alike: DataFrame | None = None) -> None:
+        """Verify candidates (hub, own) that lie in two components, until no such pair is left that isn't refuted. Those in `alike` have passed the marks.
 
         All are verified at once if they are few for each set; else a set's first hubs by a hash are verified,
         four times as many a round, and what they have joined is done.
@@ -353,7 +386,8 @@ class _Settler:
         side = lambda c, t: self.marks_of.select(F.col("sig").alias(c), F.col("n").alias(f"n_{t}"), F.col("mark").alias(f"mark_{t}"))
         marked = candidates.join(side("hub", "a"), "hub").join(side("own", "b"), "own")
         marked = marked.select(F.col("hub").alias("a"), F.col("own").alias("b"), "n_a", "n_b", "mark_a", "mark_b")
-        left = scratch.write(marked.mapInArrow(_alike, "a long, b long").select(F.col("a").alias("hub"), F.col("b").alias("own")))
+        passed = marked.mapInArrow(_alike, "a long, b long").select(F.col("a").alias("hub"), F.col("b").alias("own"))
+        left = scratch.write(passed if alike is None else passed.unionByName(alike).distinct())
         fetched = False
         while True:
             n, owns = left.agg(F.count("*"), F.approx_count_distinct("own")).first()
@@ -434,16 +468,14 @@ def _classes(docs: DataFrame, scratch: Scratch, range_rows: int, hot: float) ->
             break
         # hubs while they help; then, and where there is little left, all pairs
         hubbed = F.lit(cross > EACH * n_docs) & (F.col("cross") > FEW * F.col("all")) & (F.col("before").isNull() | (F.col("cross") <= PROGRESS * F.col("before")))
-        rest = scratch.write(rest.drop("before").join(open_.select("shingle", F.when(hubbed, F.col("cross")).alias("before")), "shingle"))
+        rest = scratch.write(rest.drop("before").join(open_.select("shingle", "all", F.when(hubbed, F.col("cross")).alias("before")), "shingle"))
         fits = (F.least("x.n", "y.n") * DEN >= F.greatest("x.n", "y.n") * NUM) & (F.col("x.component") != F.col("y.component"))
-        # the first shingle that two similar sets share has enough of both behind it
-        enough = F.least("x.left", "y.left") * (NUM + DEN) >= (F.col("x.n") + F.col("y.n")) * NUM
         few, many = rest.where("before is null"), rest.where("before is not null")
-        wanted = few.alias("x").join(few.alias("y"), "shingle").where((F.col("x.sig") < F.col("y.sig")) & fits & enough).select(F.col("x.sig").alias("hub"), F.col("y.sig").alias("own"))
+        alike = _blocks(few, marks_of, cross).applyInArrow(_list_pairs, ALIKE)
         least = [F.min(F.struct(F.xxhash64("sig", F.lit(turn * HUBS + k)).alias("rank"), "sig", "n", "component")) for k in range(HUBS)]
         hubs = many.groupBy("shingle").agg(*[c.alias(f"h{k}") for k, c in enumerate(least)]).select("shingle", F.explode(F.array(*[F.col(f"h{k}") for k in range(HUBS)])).alias("h")).select("shingle", "h.sig", "h.n", "h.component").distinct()
         starred = many.alias("x").join(hubs.alias("y"), "shingle").where(fits).select(F.col("y.sig").alias("hub"), F.col("x.sig").alias("own"))
-        settler.settle(wanted.unionByName(starred).distinct(), turn)
+        settler.settle(starred.distinct(), turn, alike)
         lists = many.select("shingle", "sig", "n", "left", "before")
     named = reps if settler.found is None else reps.join(settler.found.select(F.col("id").alias("sig"), "component"), "sig", "left")
     named = scratch.write(named.select("sig", "rep", F.coalesce("component", "sig").alias("component") if settler.found is not None else F.col("sig").alias("component")))
@@ -451,6 +483,16 @@ def _classes(docs: DataFrame, scratch: Scratch, range_rows: int, hot: float) ->
     return sets, named
 
 
+def _blocks(entries: DataFrame, marks_of: DataFrame, cross: float) -> GroupedData:
+    """List entries with their marks, dealt to groups of blocks. Long lists are cut into parts, and each two parts are a block, so none is larger than two parts."""
+    parts = F.ceil(F.col("all") / BLOCK).cast("int")
+    rows = entries.join(marks_of.select("sig", "mark"), "sig").withColumn("parts", parts)
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other"))
+    groups = max(1, math.ceil(cross / GROUP_PAIRS))
+    return rows.withColumn("g", F.pmod(F.xxhash64("shingle", "i", "j"), F.lit(groups)).cast("int")).select("g", "shingle", "i", "j", "part", "sig", "n", "left", "component", "mark").groupBy("g")
+
+
 def classes(docs: DataFrame, scratch: Scratch | None = None, range_rows: int = RANGE_ROWS, hot: float | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of docs. Only bounded tables (the sketch, a bit filter, counts) reach the driver."""
     scratch = scratch or Scratch(docs.sparkSession)

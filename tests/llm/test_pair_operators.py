@@ -73,6 +73,7 @@ def hard_rows(n=400, seed=4):
 def test_ngram_join_is_brute_force(spark, monkeypatch, range_rows, hot, few):
     """As it is; with hubs wherever a list has anything left, and shingles dealt by salt; with all pairs at once."""
     monkeypatch.setattr(ngram_join, "FEW", few)
+    monkeypatch.setattr(ngram_join, "BLOCK", 1_024 if hot is None else 7)
     monkeypatch.setattr(ngram_join, "EACH", 0 if few == 0 else ngram_join.EACH)
     rows = hard_rows()
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.classes(spark.createDataFrame(rows, "doc_id long, text string"), range_rows=range_rows, hot=hot).collect()}
