@@ -394,7 +394,7 @@ class _Settler:
             if not n:
                 break
             if not fetched:
-                self._fetch(left.select(F.explode(F.array("hub", "own")).alias("sig")).distinct())
+                self._fetch(left.select(F.col("hub").alias("sig")).distinct().unionByName(left.select(F.col("own").alias("sig")).distinct()).distinct())
                 fetched = True
             all_ = n <= MANY * owns
             if all_:
@@ -417,11 +417,13 @@ class _Settler:
         scratch.drop(left)
 
     def _fetch(self, needed: DataFrame) -> None:
-        if self.texts is None:
-            self.texts = self.scratch.write(_needed_texts(self.docs, self.reps, needed))
-            return
-        more = self.scratch.write(_needed_texts(self.docs, self.reps, needed.join(self.texts.select("sig"), "sig", "left_anti")))
-        self.texts = self.texts.unionByName(more)
+        """Get the texts of sets that no earlier call got. The sets are written first, as three steps read them."""
+        if self.texts is not None:
+            needed = needed.join(self.texts.select("sig"), "sig", "left_anti")
+        wanted = self.scratch.write(self.reps.join(needed, "sig", "left_semi"))
+        more = self.scratch.write(_needed_texts(self.docs, wanted))
+        self.texts = more if self.texts is None else self.texts.unionByName(more)
+        self.scratch.drop(wanted)
 
 
 def _classes(docs: DataFrame, scratch: Scratch, range_rows: int, hot: float) -> tuple[DataFrame, DataFrame]:
@@ -565,9 +567,8 @@ def _bit_filter(ids: DataFrame, column: str) -> tuple[Callable[[Column], Column]
     return place, hit
 
 
-def _needed_texts(docs: DataFrame, reps: DataFrame, needed: DataFrame) -> DataFrame:
-    """(sig, text) of one document for each needed set. A bit filter keeps most other texts out of the shuffle."""
-    wanted = reps.join(needed, "sig", "left_semi")
+def _needed_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(sig, text) of one document for each wanted set (sig, rep). A bit filter keeps most other texts out of the shuffle."""
     place, hit = _bit_filter(wanted, "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
