@@ -64,6 +64,18 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op1 no model decides: host, path and rule of every page."""
+    parts = table(spark, sf_dir, "pages").select("page_id", url_filter.host_of(F.col("url")).alias("host"), url_filter.path_of(F.col("url")).alias("path"))
+    rule, _ = url_filter.rule_for(F.col("host"), F.col("path"))
+    return parts.select("page_id", "host", "path", rule.alias("rule"))
+
+
+def edited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op3 is no fingerprint: every document's length and edited text."""
+    return fingerprint.compare_with_next(table(spark, sf_dir, "documents")).select("doc_id", "n_chars", "edited_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filters": op1_url_filters,
@@ -76,9 +88,42 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_embedding_dedup": op8_embedding_dedup,
         "op9_ngram_join": op9_ngram_join,
         "op10_html_extraction": op10_html_extraction,
+        "url_rules": url_rules,
+        "edited_texts": edited_texts,
     }
 
 
+_OP8_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(vec_id, other) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.vec_id, l.b FROM reach r JOIN link l ON r.other = l.a),
+low AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY 1), degree AS (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY 1)
+SELECT v.vec_id, coalesce(d.n, 0) AS n_links, l.component_id, v.vec_id = l.component_id AS kept FROM v JOIN low l ON v.vec_id = l.vec_id LEFT JOIN degree d ON v.vec_id = d.vec_id"""
+
+_OP9_SQL = """
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+u AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, x.n AS na, y.n AS nb, count(*) AS c FROM u x JOIN u y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2, 3, 4),
+link AS (SELECT a, b FROM shared WHERE 100 * c >= 75 * (na + nb - c)),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN link l ON r.other = l.a),
+low AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, low.component_id FROM s JOIN low ON s.doc_id = low.doc_id"""
+
+_RULES_SQL = """
+WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM u),
+r(h, p) AS (VALUES ('com', '/'), ('example.com', '/en/'), ('www.example.com', '/en/'), ('net', '/es/'), ('net', '/fr/')),
+m AS (SELECT page_id, max_by(h || r.p, length(h || r.p)) AS rule FROM p JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, r.p) GROUP BY 1)
+SELECT p.page_id, host, path, rule FROM p LEFT JOIN m ON p.page_id = m.page_id"""
+
+_EDITED_SQL = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+n AS (SELECT doc_id, t, coalesce(lead(t) OVER w, first_value(t) OVER w) AS follows, length(t) // 4 AS k FROM t WINDOW w AS (ORDER BY doc_id NULLS FIRST))
+SELECT doc_id, length(t) AS n_chars, sha256(substr(t, 1, length(t) - k) || substr(follows, 1, k)) AS edited_sha256 FROM n"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """None: trained models, tokenizers and piecewise hashes have no SQL form; tests hold them against brute force."""
-    return {}
+    """The exact joins, and what of op1 and op3 is a rule. Trained models, tokenizers and piecewise hashes have no SQL form; tests hold them against brute force."""
+    return {"op8_embedding_dedup": _OP8_SQL, "op9_ngram_join": _OP9_SQL, "url_rules": _RULES_SQL, "edited_texts": _EDITED_SQL}
