@@ -47,8 +47,8 @@ def dump_skip_reason() -> Column:
     ])
 
 
-def flatten_rest(df: DataFrame, descriptions: DataFrame | None = None) -> DataFrame:
-    """Records of a REST API's objects; an artist's name falls back to the first constituent, tags become a list, descriptions come from a side table, its last row an id."""
+def flatten_rest(df: DataFrame, descriptions: DataFrame | None = None, order: str | None = None) -> DataFrame:
+    """Records of a REST API's objects; an artist's name falls back to the first constituent, tags become a list, descriptions come from a side table: an id's last by the order column, or the greatest text without one."""
     tags = F.array_join(F.transform(F.filter("tags", lambda x: x["term"].isNotNull()), lambda x: x["term"]), ", ")
     out = df.select(
         F.col("objectID").cast("string").alias("object_ID"), "title", F.col("objectName").alias("object_name"), "classification", "department", F.col("objectDate").alias("date"),
@@ -57,7 +57,7 @@ def flatten_rest(df: DataFrame, descriptions: DataFrame | None = None) -> DataFr
         F.col("artistBeginDate").alias("artist_date_begin"), F.col("artistEndDate").alias("artist_date_end"), F.col("artistDisplayBio").alias("artist_display_bio"), F.nullif(tags, F.lit("")).alias("subjects"), F.col("primaryImage").alias("image_url"),
     )
     if descriptions is not None:
-        side = descriptions.where("description is not null").groupBy(F.col("object_id").cast("string").alias("object_ID")).agg(F.last("description").alias("description"))
+        side = descriptions.where("description is not null").groupBy(F.col("object_id").cast("string").alias("object_ID")).agg(F.max_by("description", F.struct(*[F.col(order)] * (order is not None), "description")).alias("description"))
         out = out.join(side, "object_ID", "left")
     return conform(out)
 
