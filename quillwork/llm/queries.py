@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, html_text, langid, lm_score, near_vectors, ngram_join, packing, toxicity, url_filter
+from . import bpe, fingerprint, html_text, langid, lexical_search, lm_score, near_vectors, ngram_join, packing, toxicity, url_filter
 from .common import held_out, table
 
 
@@ -64,6 +64,11 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best of all documents for every benchmark item."""
+    return lexical_search.search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of op1 no model decides: host, path and rule of every page."""
     parts = table(spark, sf_dir, "pages").select("page_id", url_filter.host_of(F.col("url")).alias("host"), url_filter.path_of(F.col("url")).alias("path"))
@@ -88,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_embedding_dedup": op8_embedding_dedup,
         "op9_ngram_join": op9_ngram_join,
         "op10_html_extraction": op10_html_extraction,
+        "op11_lexical_search": op11_lexical_search,
         "url_rules": url_rules,
         "edited_texts": edited_texts,
     }
@@ -124,6 +130,19 @@ n AS (SELECT doc_id, t, coalesce(lead(t) OVER w, first_value(t) OVER w) AS follo
 SELECT doc_id, length(t) AS n_chars, sha256(substr(t, 1, length(t) - k) || substr(follows, 1, k)) AS edited_sha256 FROM n"""
 
 
+_OP11_SQL = """
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM documents),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+size AS (SELECT doc_id, CAST(count(*) AS BIGINT) AS n FROM t GROUP BY 1),
+total AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM size),
+tf AS (SELECT doc_id, term, CAST(count(*) AS BIGINT) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY 1, 2),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM tf, total GROUP BY term, docs),
+s AS (SELECT q.item_id, tf.doc_id, CAST(sum(w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 20 * (50 + (50 * size.n * total.docs) // total.terms)))) AS BIGINT) AS score
+  FROM q JOIN tf ON q.term = tf.term JOIN w ON w.term = tf.term JOIN size ON size.doc_id = tf.doc_id, total GROUP BY 1, 2),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT * FROM r WHERE rank <= 50"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The exact joins, and what of op1 and op3 is a rule. Trained models, tokenizers and piecewise hashes have no SQL form; tests hold them against brute force."""
-    return {"op8_embedding_dedup": _OP8_SQL, "op9_ngram_join": _OP9_SQL, "url_rules": _RULES_SQL, "edited_texts": _EDITED_SQL}
+    return {"op8_embedding_dedup": _OP8_SQL, "op9_ngram_join": _OP9_SQL, "op11_lexical_search": _OP11_SQL, "url_rules": _RULES_SQL, "edited_texts": _EDITED_SQL}
