@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, html_text, langid, lexical_search, lm_score, near_vectors, ngram_join, packing, toxicity, url_filter
+from . import bpe, fingerprint, html_text, langid, lexical_search, lm_score, near_vectors, ngram_join, packing, spelling, toxicity, url_filter
 from .common import held_out, table
 
 
@@ -69,6 +69,11 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word of all documents with its form and root."""
+    return spelling.variants(spark, table(spark, sf_dir, "documents"))
+
+
 def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of op1 no model decides: host, path and rule of every page."""
     parts = table(spark, sf_dir, "pages").select("page_id", url_filter.host_of(F.col("url")).alias("host"), url_filter.path_of(F.col("url")).alias("path"))
@@ -94,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_ngram_join": op9_ngram_join,
         "op10_html_extraction": op10_html_extraction,
         "op11_lexical_search": op11_lexical_search,
+        "op13_spelling_variants": op13_spelling_variants,
         "url_rules": url_rules,
         "edited_texts": edited_texts,
     }
@@ -143,6 +149,23 @@ r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY scor
 SELECT * FROM r WHERE rank <= 50"""
 
 
+_OP13_SQL = """
+WITH RECURSIVE tab AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab FROM range(256) t(i)),
+run AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS w FROM documents),
+d AS (SELECT doc_id, w, count(*) AS n FROM run WHERE length(w) >= 6 GROUP BY 1, 2),
+h AS (SELECT w, n, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [195, unicode(x) - 64] END))), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM d, tab),
+v AS (SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, CAST(h % length(w) AS INTEGER)) || substr(w, CAST(h % length(w) AS INTEGER) + 2) ELSE w END AS word, n FROM h),
+word AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM v WHERE length(word) >= 6 GROUP BY 1 HAVING sum(n) >= 5),
+cut AS (SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest FROM (SELECT word, n, CAST(unnest(range(1, length(word) + 1)) AS INTEGER) AS p FROM word)),
+near AS (SELECT x.word AS a, y.word AS b, y.n AS n FROM cut x JOIN cut y ON x.rest = y.rest AND x.p = y.p AND x.word <> y.word
+  UNION SELECT x.word, y.word, y.n FROM cut x JOIN word y ON x.rest = y.word UNION SELECT y.word, x.word, x.n FROM cut x JOIN word y ON x.rest = y.word),
+best AS (SELECT a, CAST(count(*) AS BIGINT) AS n_near, first(b ORDER BY n DESC, b) AS form, max(n) AS form_n FROM near GROUP BY 1),
+f AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * n THEN form END AS form, CASE WHEN form_n >= 5 * n THEN form_n END AS form_n FROM word LEFT JOIN best ON word = a),
+way(word, stop) AS (SELECT word, word FROM f UNION ALL SELECT way.word, f.form FROM way JOIN f ON way.stop = f.word WHERE f.form IS NOT NULL),
+ends AS (SELECT way.word, stop AS root FROM way JOIN f ON way.stop = f.word WHERE f.form IS NULL)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN ends ON f.word = ends.word"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The exact joins, and what of op1 and op3 is a rule. Trained models, tokenizers and piecewise hashes have no SQL form; tests hold them against brute force."""
-    return {"op8_embedding_dedup": _OP8_SQL, "op9_ngram_join": _OP9_SQL, "op11_lexical_search": _OP11_SQL, "url_rules": _RULES_SQL, "edited_texts": _EDITED_SQL}
+    return {"op8_embedding_dedup": _OP8_SQL, "op9_ngram_join": _OP9_SQL, "op11_lexical_search": _OP11_SQL, "op13_spelling_variants": _OP13_SQL, "url_rules": _RULES_SQL, "edited_texts": _EDITED_SQL}
