@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, html_text, langid, lexical_search, lm_score, near_vectors, ngram_join, packing, spelling, toxicity, url_filter
+from . import bpe, fingerprint, html_text, langid, lexical_search, lm_score, near_vectors, ngram_join, packing, pii, spelling, toxicity, url_filter
 from .common import held_out, table
 
 
@@ -69,11 +69,21 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of all documents: base spans and terms that disclose them."""
+    return pii.report(spark, table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every frequent word of all documents with its form and root."""
     return spelling.variants(spark, table(spark, sf_dir, "documents"))
 
 
+def pii_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op12 the patterns alone decide."""
+    return op12_pii(spark, sf_dir).drop("spans", "n_terms")
+
+
 def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of op1 no model decides: host, path and rule of every page."""
     parts = table(spark, sf_dir, "pages").select("page_id", url_filter.host_of(F.col("url")).alias("host"), url_filter.path_of(F.col("url")).alias("path"))
@@ -99,7 +109,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_ngram_join": op9_ngram_join,
         "op10_html_extraction": op10_html_extraction,
         "op11_lexical_search": op11_lexical_search,
+        "op12_pii": op12_pii,
         "op13_spelling_variants": op13_spelling_variants,
+        "pii_base": pii_base,
         "url_rules": url_rules,
         "edited_texts": edited_texts,
     }
@@ -149,6 +161,22 @@ r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY scor
 SELECT * FROM r WHERE rank <= 50"""
 
 
+_PII_SQL = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+raw AS (SELECT doc_id, 0 AS no, regexp_extract_all(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+') AS f, string_split_regex(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+') AS g FROM t
+  UNION ALL SELECT doc_id, 1, regexp_extract_all(t, '[0-9]+(\\.[0-9]+)(\\.[0-9]+)(\\.[0-9]+)'), string_split_regex(t, '[0-9]+(\\.[0-9]+)(\\.[0-9]+)(\\.[0-9]+)') FROM t
+  UNION ALL SELECT doc_id, 2, regexp_extract_all(t, '[0-9]([\\x20-]?[0-9])+'), string_split_regex(t, '[0-9]([\\x20-]?[0-9])+') FROM t
+  UNION ALL SELECT doc_id, 3, regexp_extract_all(t, '\\+[0-9][\\x20().0-9-]+[0-9]'), string_split_regex(t, '\\+[0-9][\\x20().0-9-]+[0-9]') FROM t),
+m AS (SELECT doc_id, no, f[i] AS m, list_sum(list_transform(f[1:i], lambda x: length(x))) + list_sum(list_transform(g[1:i], lambda x: length(x))) AS stop FROM (SELECT *, unnest(range(1, len(f) + 1)) AS i FROM raw)),
+digits AS (SELECT *, regexp_replace(m, '[^0-9]', '', 'g') AS d FROM m),
+good AS (SELECT doc_id, no, CAST(stop - length(m) AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop FROM digits WHERE CASE no WHEN 0 THEN true
+  WHEN 1 THEN len(list_filter(string_split(m, '.'), lambda x: NOT regexp_full_match(x, '0*([0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])'))) = 0
+  WHEN 2 THEN length(d) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length(d) + 1), lambda i: CASE WHEN i % 2 = 1 THEN CAST(substr(reverse(d), i, 1) AS INTEGER) WHEN CAST(substr(reverse(d), i, 1) AS INTEGER) > 4 THEN 2 * CAST(substr(reverse(d), i, 1) AS INTEGER) - 9 ELSE 2 * CAST(substr(reverse(d), i, 1) AS INTEGER) END)) % 10 = 0
+  ELSE length(d) BETWEEN 9 AND 15 END),
+s AS (SELECT doc_id, count(*) FILTER (no = 0) AS n_email, count(*) FILTER (no = 1) AS n_ip, count(*) FILTER (no = 2) AS n_card, count(*) FILTER (no = 3) AS n_phone,
+  string_agg(['email', 'ip', 'card', 'phone'][no + 1] || ':' || start || ':' || stop, ',' ORDER BY start, no) AS spans FROM good GROUP BY 1)
+SELECT t.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone, sha256(coalesce(spans, '')) AS base_sha256 FROM t LEFT JOIN s ON t.doc_id = s.doc_id"""
+
 _OP13_SQL = """
 WITH RECURSIVE tab AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab FROM range(256) t(i)),
 run AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS w FROM documents),
@@ -168,4 +196,4 @@ SELECT f.word, form, root, n, n_near, form_n FROM f JOIN ends ON f.word = ends.w
 
 def oracle_sql() -> dict[str, str]:
     """The exact joins, and what of op1 and op3 is a rule. Trained models, tokenizers and piecewise hashes have no SQL form; tests hold them against brute force."""
-    return {"op8_embedding_dedup": _OP8_SQL, "op9_ngram_join": _OP9_SQL, "op11_lexical_search": _OP11_SQL, "op13_spelling_variants": _OP13_SQL, "url_rules": _RULES_SQL, "edited_texts": _EDITED_SQL}
+    return {"op8_embedding_dedup": _OP8_SQL, "op9_ngram_join": _OP9_SQL, "op11_lexical_search": _OP11_SQL, "op13_spelling_variants": _OP13_SQL, "pii_base": _PII_SQL, "url_rules": _RULES_SQL, "edited_texts": _EDITED_SQL}
