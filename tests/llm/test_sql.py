@@ -11,7 +11,7 @@ from quillwork.llm import queries
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_equals_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for table in "documents embeddings pages".split():
+    for table in "documents embeddings pages benchmark".split():
         con.execute(f"create view {table} as select * from '{sf_dir}/{table}.parquet'")
     found = con.execute(queries.oracle_sql()[name])
     columns = [c[0] for c in found.description]
