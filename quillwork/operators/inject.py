@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions.lists import astronomical_year, from_astronomical
 from ..functions.text import ambiguous, anonymous_for_injection, nullish, propagate, similar_loose
+from .ordered import first_of_each
 
 #: Columns that may get a shadow.
 SHADOWED = (
@@ -171,11 +172,11 @@ def null_base_where_null(df: DataFrame, c: str) -> Column:
     return F.when(F.col("error_type").isin("culture", "place") & F.col(f"{c}_error").isNull(), F.lit(None).cast("string")).otherwise(F.col(c))
 
 
-def take_quota(candidates: DataFrame, subtype: str, key: str, quotas: dict[str, int], seed: int = 42) -> DataFrame:
+def take_quota(candidates: DataFrame, subtype: str, key: str, quotas: dict[str, int], seed: int = 42, cut=None) -> DataFrame:
     """Of oversampled successes, as many of each subtype as its quota asks for: no refill loop is needed."""
     table = F.create_map(*[F.lit(x) for k, v in sorted(quotas.items()) for x in (k, v)])
-    w = Window.partitionBy(subtype).orderBy(F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)))), key)
-    return candidates.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= F.coalesce(F.try_element_at(table, F.col(subtype)), F.lit(0))).drop("__rn")
+    take = candidates.select(subtype).distinct().withColumn("n", F.coalesce(F.try_element_at(table, F.col(subtype)), F.lit(0)))
+    return first_of_each(candidates, [subtype], F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)))), key, take, cut=cut)
 
 
 def is_nullish(c: str) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import similar_loose
+from .ordered import next_rows
 
 
 def clean(c: Column) -> Column:
@@ -30,14 +31,17 @@ def eligibility(df: DataFrame) -> DataFrame:
     )
 
 
-def adjacent_pairs(df: DataFrame, equal: list[str], order: list[str], key: str, where: Column | None = None, columns: list[str] = ()) -> DataFrame:
+def adjacent_pairs(df: DataFrame, equal: list[str], order: list[str], key: str, where: Column | None = None, columns: list[str] = (), cut=None) -> DataFrame:
     """(id_a, id_b) of rows that follow each other in the order within equal keys and meet a condition on c and next_c.
 
-    As all conditions ask for equal keys, sorting within the keys gives the pairs of a global sort, in parallel.
+    Neighbours are those of one global order, by the equal keys first, so a key that many rows share is spread over
+    tasks. Null keys equal each other. cut: see ordered.next_rows.
     """
-    w = Window.partitionBy(*equal).orderBy(*order, key)
-    wanted = [key, *dict.fromkeys(c for c in (*order, *columns) if c != key)]
-    out = df.select(*dict.fromkeys([*equal, *wanted])).withColumns({f"next_{c}": F.lead(c).over(w) for c in wanted}).where(F.col(f"next_{key}").isNotNull())
+    wanted = [key, *dict.fromkeys(c for c in (*equal, *order, *columns) if c != key)]
+    rows = df.select(*dict.fromkeys([*equal, *order, *wanted]))
+    out = next_rows(rows, list(dict.fromkeys([*equal, *order, key])), wanted, cut).where(F.col(f"next_{key}").isNotNull())
+    for c in equal:
+        out = out.where(F.col(c).eqNullSafe(F.col(f"next_{c}")))
     out = out.where(where) if where is not None else out
     return out.select(F.col(key).alias("id_a"), F.col(f"next_{key}").alias("id_b"))
 
@@ -69,18 +73,13 @@ def image_tier(df: DataFrame, tier: int, seed: int = 42) -> DataFrame:
     return shuffled_pairs(df, "id", "object", seed, also=["title"])
 
 
-def shuffled_pairs(df: DataFrame, key: str, differ: str, seed: int = 42, also: list[str] = (), buckets: int = 64) -> DataFrame:
-    """(id_a, id_b) of neighbours in an order by hash whose values differ.
-
-    The hash order is cut by its first digits into buckets, so the shuffle is parallel; within a bucket
-    neighbours are those of the global hash order, at a bucket's end no pair is made.
-    """
-    h = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
-    wide = df.withColumn("h", h).withColumn("bucket", F.pmod(F.conv(F.substring("h", 1, 4), 16, 10).cast("int"), F.lit(buckets)))
+def shuffled_pairs(df: DataFrame, key: str, differ: str, seed: int = 42, also: list[str] = (), cut=None) -> DataFrame:
+    """(id_a, id_b) of neighbours in one order by hash over all rows whose values differ."""
+    wide = df.withColumn("h", F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)))))
     cond = F.col(differ) != F.col(f"next_{differ}")
     for c in also:
         cond = cond & (F.col(c) != F.col(f"next_{c}"))
-    return adjacent_pairs(wide, ["bucket"], ["h"], key, cond, [differ, *also])
+    return adjacent_pairs(wide, [], ["h"], key, cond, [differ, *also], cut)
 
 
 def zip_pairs(rows: DataFrame, edges: DataFrame, key: str, group: str, most: int = 1000, name: bool = True) -> DataFrame:
@@ -99,26 +98,57 @@ def continent_pairs(primary: DataFrame) -> DataFrame:
     return primary.alias("x").join(primary.alias("y"), "continent").where(F.col("x.culture") < F.col("y.culture")).select(F.col("x.culture").alias("a"), F.col("y.culture").alias("b"))
 
 
+def _first_two(ends: DataFrame) -> DataFrame:
+    """id, first, second: each id's best edge and the one after it, by two minima; no id's edges are ranked in one group."""
+    first = ends.groupBy("id").agg(F.min("edge").alias("first"))
+    second = ends.join(first, "id").where(F.col("edge") != F.col("first")).groupBy("id").agg(F.min("edge").alias("second"))
+    return first.join(second, "id", "left")
+
+
+def _settled(rest: DataFrame, cut) -> DataFrame:
+    """Edges of `rest` (edge) that are surely taken.
+
+    An edge that is first at both ends is taken. One that is first at an end and second at the other hangs on a single
+    edge, the other end's first: it is taken just if that one isn't. So such edges form chains, however long; pointer
+    jumping settles them in as many rounds as their length has binary digits, with the parity of the steps.
+    """
+    ends = rest.select(F.explode(F.array("edge.id_a", "edge.id_b")).alias("id"), "edge")
+    two = cut(_first_two(ends))
+    firsts = two.select(F.col("first").alias("edge"), F.col("id").alias("at")).groupBy("edge").agg(F.count("*").alias("n"))
+    taken = firsts.where("n = 2").select("edge", F.lit(None).cast(rest.schema["edge"].dataType).alias("on"), F.lit(0).alias("odd"))
+    hanging = two.where("second is not null").select(F.col("second").alias("edge"), F.col("first").alias("on"))
+    hanging = hanging.join(firsts.where("n = 1").select("edge"), "edge", "left_semi").select("edge", "on", F.lit(1).alias("odd"))
+    now = cut(taken.unionByName(hanging))
+    while True:
+        step = now.select(F.col("edge").alias("on"), F.col("on").alias("further"), F.col("odd").alias("more"), F.lit(True).alias("known"))
+        after = now.join(step, "on", "left").select("edge", F.when(F.col("known"), F.col("further")).otherwise(F.col("on")).alias("on"), (F.col("odd") + F.coalesce("more", F.lit(0))).alias("odd"), (F.coalesce("known", F.lit(False)) & F.col("further").isNotNull()).alias("moved"))
+        now = cut(after.withColumn("odd", F.col("odd") % 2))
+        if now.where("moved").isEmpty():
+            # chains that end at an edge which is neither wait for a later round
+            return now.where(F.col("on").isNull() & (F.col("odd") == 0)).select("edge")
+        now = now.drop("moved")
+
+
 def disjoint_matching(edges: DataFrame, checkpoint=None, most_rounds: int | None = None) -> DataFrame:
     """Edges (id_a, id_b, score) such that every id is used once: the result of taking edges by (score desc, id_a, id_b).
 
-    Each round keeps the edges that are first for both their ids and drops all that touch them. checkpoint is
-    how a round's rest is cut from its lineage; by default DataFrame.checkpoint. Every round settles an edge at least,
-    so the rounds end; if more than most_rounds are needed, it is an error.
+    Each round takes the edges that are surely taken (_settled) and drops all that touch them. checkpoint is
+    how a round's rest is cut from its lineage; by default DataFrame.checkpoint. Every round takes an edge at least,
+    so the rounds end; if more than most_rounds are needed, it is an error. Edges from an id to itself go, of repeated
+    ones the best score counts, null ids or scores are no edges.
     """
     cut = checkpoint or (lambda df: df.checkpoint())
-    rest = cut(edges.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"), "score").where("id_a <> id_b").groupBy("id_a", "id_b").agg(F.max("score").alias("score")))
+    both = edges.where("id_a <> id_b and score is not null").groupBy(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")).agg(F.max("score").alias("score"))
+    rest = cut(both.select(F.struct((-F.col("score")).alias("s"), "id_a", "id_b").alias("edge")))
     out, rounds = None, 0
     while not rest.isEmpty():
         if rounds == most_rounds:
             raise RuntimeError("disjoint_matching did not settle")
         rounds += 1
-        rank = F.struct((-F.col("score")).alias("s"), "id_a", "id_b")
-        ends = rest.select(F.explode(F.array("id_a", "id_b")).alias("id"), rank.alias("rank"))
-        first = ends.groupBy("id").agg(F.min("rank").alias("rank"))
-        won = first.groupBy("rank").agg(F.count("*").alias("n")).where("n = 2").select("rank.id_a", "rank.id_b", (-F.col("rank.s")).alias("score"))
-        won = cut(won)
-        out = won if out is None else out.unionByName(won)
-        used = won.select(F.explode(F.array("id_a", "id_b")).alias("id"))
-        rest = cut(rest.join(used.withColumnRenamed("id", "id_a"), "id_a", "left_anti").join(used.withColumnRenamed("id", "id_b"), "id_b", "left_anti").select("id_a", "id_b", "score"))
-    return out if out is not None else rest
+        won = cut(_settled(rest, cut))
+        out = won if out is None else cut(out.unionByName(won)) if rounds % 8 == 0 else out.unionByName(won)
+        used = won.select(F.explode(F.array("edge.id_a", "edge.id_b")).alias("id"))
+        for end in ("id_a", "id_b"):
+            rest = rest.join(used, F.col(f"edge.{end}") == F.col("id"), "left_anti")
+        rest = cut(rest)
+    return (rest if out is None else out).select("edge.id_a", "edge.id_b", (-F.col("edge.s")).alias("score"))

@@ -6,41 +6,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .ordered import first_of_each
+
 
 def hash_order(key: str, seed: int | str = 42) -> Column:
     """The order that stands for a seeded shuffle."""
     return F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
 
 
-def hash_sample(df: DataFrame, key: str, n: int, seed: int | str = 42) -> DataFrame:
-    """n rows."""
-    return df.orderBy(hash_order(key, seed), key).limit(n)
+def hash_sample(df: DataFrame, key: str, n: int, seed: int | str = 42, cut=None) -> DataFrame:
+    """n rows, in the order of the shuffle."""
+    take = df.sparkSession.range(1).select(F.lit(n).alias("n"))
+    return first_of_each(df, [], hash_order(key, seed), key, take, cut=cut).orderBy(hash_order(key, seed), key)
 
 
-def group_sample(df: DataFrame, group: str, key: str, keep: Column, scan: int, n: int, seed: int = 42) -> DataFrame:
-    """Of each group the first `scan` rows of a shuffle, and of those that meet `keep` the first n."""
+def group_sample(df: DataFrame, group: str, key: str, keep: Column, scan: int, n: int, seed: int = 42, cut=None) -> DataFrame:
+    """Of each group the first `scan` rows of a shuffle, and of those that meet `keep` the first n. Only what was scanned is ranked."""
+    take = df.select(group).distinct().withColumn("n", F.lit(scan))
+    seen = first_of_each(df, [group], hash_order(key, seed), key, take, cut=cut).where(keep)
     w = Window.partitionBy(group).orderBy(hash_order(key, seed), key)
-    seen = df.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= scan).where(keep)
-    again = Window.partitionBy(group).orderBy("rn")
-    return seen.withColumn("rank", F.row_number().over(again)).where(F.col("rank") <= n).drop("rn", "rank")
+    return seen.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n).drop("rank")
 
 
-def stratified_sample(df: DataFrame, strata: list[str], key: str, n: int, seed: int = 42) -> DataFrame:
+def stratified_sample(df: DataFrame, strata: list[str], key: str, n: int, seed: int = 42, cut=None) -> DataFrame:
     """About n rows: of each stratum its share of n, at least one."""
     counts = df.groupBy(*strata).agg(F.count("*").alias("stratum"))
-    total = Window.partitionBy()
-    quotas = counts.withColumn("quota", F.greatest(F.lit(1), F.floor(F.col("stratum") * n / F.sum("stratum").over(total))).cast("int")).drop("stratum")
-    ranked = df.withColumn("rn", F.row_number().over(Window.partitionBy(*strata).orderBy(hash_order(key, seed), key)))
-    on = [ranked[s].eqNullSafe(quotas[s]) for s in strata]
-    return ranked.join(quotas, on).where("rn <= quota").select(*[ranked[c] for c in df.columns])
+    total = df.agg(F.count("*").alias("total"))
+    take = counts.join(F.broadcast(total)).select(*strata, F.greatest(F.lit(1), F.floor(F.col("stratum") * n / F.col("total"))).alias("n"))
+    return first_of_each(df, strata, hash_order(key, seed), key, take, cut=cut)
 
 
-def balanced_sample(df: DataFrame, label: Column, key: str, limit: int, seed: int = 42) -> DataFrame:
+def balanced_sample(df: DataFrame, label: Column, key: str, limit: int, seed: int = 42, cut=None) -> DataFrame:
     """min(dirty, limit / 2) rows with the label, filled up with rows without it."""
-    marked = df.withColumn("dirty", F.coalesce(label, F.lit(False)))
-    ranked = marked.withColumn("rn", F.row_number().over(Window.partitionBy("dirty").orderBy(hash_order(key, seed), key)))
-    dirty = marked.agg(F.least(F.count_if("dirty"), F.lit(limit // 2)).alias("take"))
-    return ranked.crossJoin(F.broadcast(dirty)).where(F.when(F.col("dirty"), F.col("rn") <= F.col("take")).otherwise(F.col("rn") <= limit - F.col("take"))).select(*df.columns)
+    marked = df.withColumn("__dirty", F.coalesce(label, F.lit(False)))
+    dirty = marked.agg(F.least(F.count_if("__dirty"), F.lit(limit // 2)).alias("take"))
+    take = dirty.select(F.explode(F.array(F.struct(F.lit(True).alias("__dirty"), F.col("take").alias("n")), F.struct(F.lit(False).alias("__dirty"), (F.lit(limit) - F.col("take")).alias("n")))).alias("s")).select("s.*")
+    return first_of_each(marked, ["__dirty"], hash_order(key, seed), key, take, cut=cut).drop("__dirty")
 
 
 def sizes(total: int, train: float = 0.6, error_rate: float = 50.0) -> dict[str, int]:
@@ -108,15 +109,13 @@ def assign(eligible: DataFrame, pairs: DataFrame, quota: dict[str, int], cut, se
     return reduce(DataFrame.unionByName, done)
 
 
-def split_clean(df: DataFrame, key: str, test_clean: int, train: int, seed: int = 42) -> DataFrame:
-    """The rows with a split column: the first in hash order to test, the next to train, the rest to neither (null).
-
-    Only ids are ranked: bounds are found by hash, no global window over whole rows.
-    """
-    h = hash_order(key, seed)
-    bounds = df.select(h.alias("h"), F.col(key).alias("k")).orderBy("h", "k").limit(test_clean + train).withColumn("n", F.monotonically_increasing_id())
-    ranked = bounds.withColumn("split", F.when(F.row_number().over(Window.orderBy("h", "k")) <= test_clean, "test").otherwise("train")).select(F.col("k").alias(key), "split")
-    return df.join(ranked, key, "left")
+def split_clean(df: DataFrame, key: str, test_clean: int, train: int, seed: int = 42, cut=None) -> DataFrame:
+    """The rows with a split column: the first in hash order to test, the next to train, the rest to neither (null). Keys are unique."""
+    keys = df.select(key)
+    marked = [hash_sample(keys, key, n, seed, cut).select(F.col(key).alias("__k"), F.lit(1).alias("n")) for n in (test_clean, test_clean + train)]
+    times = marked[0].unionByName(marked[1]).groupBy("__k").agg(F.sum("n").alias("__n"))
+    out = df.join(times, F.col(key) == F.col("__k"), "left")
+    return out.withColumn("split", F.when(F.col("__n") == 2, "test").when(F.col("__n") == 1, "train")).drop("__k", "__n")
 
 
 def sample_per_file(df: DataFrame, file: str, key: str, n: int, seed: int = 42) -> DataFrame:

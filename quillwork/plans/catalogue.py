@@ -195,8 +195,8 @@ def adjacent_pairs_tier2(spark, d):
 
 
 @query("shuffled_pairs_tier1", """
-WITH h AS (SELECT c_custkey AS id, c_mktsegment AS s, md5(concat(c_custkey, '|42')) AS h FROM customer), b AS (SELECT *, CAST(concat('0x', h[1:4]) AS INT) % 64 AS bucket FROM h),
-l AS (SELECT id, s, lead(id) OVER w AS id_b, lead(s) OVER w AS ns FROM b WINDOW w AS (PARTITION BY bucket ORDER BY h, id)) SELECT id AS id_a, id_b FROM l WHERE id_b IS NOT NULL AND s <> ns""")
+WITH l AS (SELECT c_custkey AS id, c_mktsegment AS s, lead(c_custkey) OVER w AS id_b, lead(c_mktsegment) OVER w AS ns FROM customer WINDOW w AS (ORDER BY md5(concat(c_custkey, '|42')), c_custkey))
+SELECT id AS id_a, id_b FROM l WHERE id_b IS NOT NULL AND s <> ns""")
 def shuffled_pairs_tier1(spark, d):
     return pairs.shuffled_pairs(t(spark, d, "customer"), "c_custkey", "c_mktsegment")
 
@@ -219,6 +219,13 @@ def image_pairs_tier2(spark, d):
     return pairs.image_tier(image_rows(spark, d), 2)
 
 
+@query("image_pairs_tier1", """
+WITH e AS (SELECT o_orderkey AS id, o_orderpriority AS object, o_orderstatus AS title, md5(concat(o_orderkey, '|42')) AS h FROM orders),
+l AS (SELECT *, lead(id) OVER w AS id_b, lead(object) OVER w AS nob, lead(title) OVER w AS nt FROM e WINDOW w AS (ORDER BY h, id)) SELECT id AS id_a, id_b FROM l WHERE id_b IS NOT NULL AND object <> nob AND title <> nt""")
+def image_pairs_tier1(spark, d):
+    return pairs.image_tier(image_rows(spark, d), 1)
+
+
 @query("zip_pairs", """
 WITH r AS (SELECT s_suppkey AS k, s_nationkey AS g, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS rn FROM supplier), e AS (SELECT x.n_nationkey AS a, y.n_nationkey AS b FROM nation x JOIN nation y ON x.n_regionkey = y.n_regionkey AND x.n_nationkey < y.n_nationkey)
 SELECT a, b, p.k AS id_a, q.k AS id_b FROM e JOIN r p ON p.g = a JOIN r q ON q.g = b AND q.rn = p.rn WHERE p.rn <= 1000""")
@@ -258,11 +265,17 @@ def embedding_band_pairs(spark, d):
     return vectors.band_pairs(t(spark, d, "embeddings"), "vec_id", "embedding", "label", 0.35, 0.5).withColumn("score", F.round("score", 4))
 
 
-@query("embedding_disjoint_match")
+@query("embedding_disjoint_match", """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings), n AS (SELECT vec_id, label, list_transform(e, lambda x: x / sqrt(list_sum(list_transform(e, lambda y: y * y)))) AS u FROM v),
+s AS (SELECT a.vec_id AS q, b.vec_id AS nb, a.label AS la, b.label AS lb, round(list_dot_product(a.u, b.u), 12) AS score FROM n a JOIN n b ON a.vec_id <> b.vec_id), r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, nb) AS rn FROM s WHERE score BETWEEN 0.35 AND 0.5),
+p AS (SELECT least(q, nb) AS a, greatest(q, nb) AS b, max(score) AS score FROM r WHERE rn <= 20 AND la <> lb GROUP BY 1, 2), o AS (SELECT *, row_number() OVER (ORDER BY score DESC, a, b) AS k FROM p),
+g(k, used) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]) UNION ALL SELECT x.k, list_concat(x.used, [o.a, o.b]) FROM (SELECT g.used, min(o.k) AS k FROM g JOIN o ON o.k > g.k AND NOT list_contains(g.used, o.a) AND NOT list_contains(g.used, o.b) GROUP BY g.used) x JOIN o ON o.k = x.k)
+SELECT o.a AS id_a, o.b AS id_b, round(o.score, 4) AS score FROM g JOIN o ON g.k = o.k""")
 def embedding_disjoint_match(spark, d):
     from ..sources.sinks import cutter
 
-    return pairs.disjoint_matching(vectors.band_pairs(t(spark, d, "embeddings"), "vec_id", "embedding", "label", 0.35, 0.5), cutter(spark))
+    found = pairs.disjoint_matching(vectors.band_pairs(t(spark, d, "embeddings"), "vec_id", "embedding", "label", 0.35, 0.5), cutter(spark))
+    return found.withColumn("score", F.round("score", 4))
 
 
 @query("eligibility_index", """

@@ -209,4 +209,5 @@ def test_disjoint_matching_never_leaves_edges_silently(spark):
     path = spark.createDataFrame([(i, i + 1, 1.0) for i in range(5)], "id_a long, id_b long, score double")
     assert sorted((r.id_a, r.id_b) for r in pairs.disjoint_matching(path, sinks.cutter(spark)).collect()) == [(0, 1), (2, 3), (4, 5)]
     with pytest.raises(RuntimeError):
-        pairs.disjoint_matching(path, sinks.cutter(spark), most_rounds=1)
+        two = spark.createDataFrame([(1, 2, 10.0), (3, 4, 10.0), (0, 1, 5.0), (0, 3, 4.0), (0, 5, 3.0)], path.schema)
+        pairs.disjoint_matching(two, sinks.cutter(spark), most_rounds=1)
