@@ -138,7 +138,7 @@ def test_top_k_is_brute_force(spark, sf_dir):
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     s = x @ x.T
     np.fill_diagonal(s, -9)
-    got = vectors.top_k(e, e, "vec_id", "embedding", 2, blocks=3).orderBy("query", "rank").collect()
+    got = vectors.top_k(e, e, "vec_id", "embedding", 2, block=200).orderBy("query", "rank").collect()
     want = [rows[j].vec_id for i in range(len(rows)) for j in np.argsort(-s[i])[:2]]
     assert [r.neighbour for r in got] == want
 
