@@ -26,8 +26,10 @@ from .common import Scratch, arrow_schema, components, unit_hash
 THRESHOLD = 0.93
 #: Share of the pairs just at the threshold that one side's traversal must meet.
 RECALL = 0.98
-#: Most vectors that the codebooks are fitted on.
-SAMPLE = 6_000
+#: Sampled vectors for each centroid of a codebook, vectors set apart to measure visits on, and the most that are sampled of one length.
+A_CENTROID, MEASURED, SAMPLE = 30, 2_000, 32_000
+#: Cells of a grid hold so many vectors on the average, as long as the sample suffices for its codebooks.
+A_CELL = 500
 #: Most vectors on a side of a block of comparisons.
 BLOCK = 4_096
 
@@ -89,22 +91,33 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -
     return centres
 
 
-def fit_index(sample: np.ndarray, total: int, threshold: float = THRESHOLD, recall: float = RECALL, seed: int = 5) -> Index | None:
-    """An index from unit vectors; None if there are too few, or of too few dimensions, for a grid to help.
+def centroids(total: int) -> int:
+    """Centroids of a codebook for so many vectors: the square root of the cells, as many at most as SAMPLE gives A_CENTROID vectors each. Beyond some 500 million vectors cells grow instead."""
+    return min(max(4, int(math.sqrt(total / A_CELL))), (SAMPLE - MEASURED) // A_CENTROID)
+
+
+def sample_size(total: int) -> int:
+    """Vectors to sample of so many."""
+    return A_CENTROID * centroids(total) + MEASURED
 
-    A codebook has the square root of total / 500 centroids, an eighth of the sample at most.
 
-    The number of visits is the rank, at the target recall, of the cell in which a copy turned away from its
-    vector to just the threshold lies.
+def fit_index(sample: np.ndarray, total: int, threshold: float = THRESHOLD, recall: float = RECALL, seed: int = 5) -> Index | None:
+    """An index from unit vectors; None if there are too few, or of one dimension, for a grid to help.
+
+    Codebooks are fitted on one part of the sample. The number of visits is measured on the other, whose vectors no
+    centroid lies on: the rank, at the target recall, of the cell in which a copy turned away from its vector to just the
+    threshold lies.
     """
     n, dim = sample.shape
-    k = min(max(4, int(math.sqrt(total / 500))), n // 8)
-    if dim < 4 or k < 2:
+    apart = min(MEASURED, n // 4)
+    k = min(centroids(total), (n - apart) // 8)
+    if dim < 2 or k < 2:
         return None
     rng = np.random.default_rng(seed)
+    sample = sample[rng.permutation(n)]
+    some, fitted = sample[:apart], sample[apart:]
     h = dim // 2
-    index = Index(_kmeans(sample[:, :h], k, rng), _kmeans(sample[:, h:], k, rng), k * k)
-    some = sample[rng.choice(n, min(n, 1_000), replace=False)]
+    index = Index(_kmeans(fitted[:, :h], k, rng), _kmeans(fitted[:, h:], k, rng), k * k)
     turn = rng.normal(size=some.shape)
     turn -= (turn * some).sum(1)[:, None] * some
     turn /= np.linalg.norm(turn, axis=1)[:, None] + 1e-300
@@ -119,8 +132,10 @@ def fit_index(sample: np.ndarray, total: int, threshold: float = THRESHOLD, reca
     return index
 
 
-def _unit(rows: list) -> np.ndarray:
+def _unit(rows) -> np.ndarray:
+    """Unit vectors in doubles; scaled by the largest component first, so that no square over- or underflows."""
     x = np.array(rows, dtype=np.float64)
+    x /= np.abs(x).max(1)[:, None]
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
@@ -237,9 +252,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, recall: fl
     sizes = {r["dim"]: r["n"] for r in reps.groupBy("dim").agg(F.count("*").alias("n")).where(F.col("n") > block).collect()}
     indexes: dict[int, Index] = {}
     for dim, n in sizes.items():
-        share = min(1.0, SAMPLE / len(sizes) / n)
-        picked = reps.where((F.col("dim") == dim) & (unit_hash(F.col("id"), seed=8) < share)).select("id", "embedding").limit(2 * SAMPLE).collect()
-        if picked and (index := fit_index(_unit([r["embedding"] for r in sorted(picked, key=lambda r: r["id"])]), n, threshold, recall)):
+        share = min(1.0, sample_size(n) / len(sizes) / n)
+        picked = reps.where((F.col("dim") == dim) & (unit_hash(F.col("id"), seed=8) < share)).select("id", "embedding").toArrow().sort_by("id")
+        x = picked.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+        if len(x) and (index := fit_index(_unit(x), n, threshold, recall)):
             indexes[dim] = index
     placed = scratch.write(reps.select("label", "dim", "id", "copies", "embedding").mapInArrow(_assign(indexes), ASSIGNED))
     by_slab = placed.groupBy("label", "dim", "slab").agg(F.ceil(F.count_if(F.col("role") == 0) / block).cast("int").alias("homes"), F.ceil(F.count_if(F.col("role") == 1) / block).cast("int").alias("guests")).where("homes > 0 and guests > 0")
