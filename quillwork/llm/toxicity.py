@@ -40,7 +40,10 @@ LEXICON_SIZE, LOOKED_THROUGH = 2_000, 16_000
 _PLAIN = re.compile(r"[a-z]+\Z")
 _SIGNS = re.compile(r"(?<=[^\W_])[@$!|](?=[^\W_])")
 _INNER = re.compile(r"(?:[^\W_][.\-_*·]){2,}[^\W_]\Z")
-_TABLE = str.maketrans(HOMOGLYPHS | {c: None for c in "​‌‍⁠﻿­"})
+_UNSEEN = str.maketrans(dict.fromkeys("\u200b\u200c\u200d\u2060\ufeff\u00ad"))
+_ALIKE = str.maketrans(HOMOGLYPHS)
+_LATIN = re.compile("[a-z]")
+_AROUND = ".,;:!?\"'()[]{}*#%$&-_|"
 _STEMS = range(4, 9)
 
 
@@ -48,11 +51,12 @@ def fold_word(word: str) -> str:
     """One whitespace-free word without its disguises; pieces around punctuation are set apart by blanks."""
     if _PLAIN.match(word):
         return word
-    word = unicodedata.normalize("NFKC", word).lower().translate(_TABLE)
-    word = _SIGNS.sub(lambda m: m[0].translate(DIGITS), word)
-    if any(c.isdigit() for c in word) and any(c.isalpha() for c in word):
-        word = word.translate(DIGITS)
-    core = word.strip(".,;:!?\"'()[]{}*#%$&-_")
+    core = unicodedata.normalize("NFKC", word).lower().translate(_UNSEEN).strip(_AROUND)
+    if _LATIN.search(core):  # a word wholly in another script is no disguise
+        core = core.translate(_ALIKE)
+    core = _SIGNS.sub(lambda m: m[0].translate(DIGITS), core)
+    if any(c.isdigit() for c in core) and any(c.isalpha() for c in core):
+        core = core.translate(DIGITS)
     if _INNER.match(core):
         core = re.sub(r"[.\-_*·]", "", core)
     return " ".join(re.findall(r"[^\W_]+", core))

@@ -54,7 +54,7 @@ def test_url_trees_learn(spark):
 # ---------------------------------------------------------------- toxicity
 
 def test_folding():
-    assert [toxicity.fold_word(w) for w in ("1d10t", "іdіоt", "ID!OT!!", "i.d.i.o.t", "2024", "de,&&&", "Ｍｏｒｏｎ", "tra$h.")] == ["idiot", "idiot", "idiot", "idiot", "2024", "de", "moron", "trash"]
+    assert [toxicity.fold_word(w) for w in ("1d10t", "іdіоt", "ID!OT!!", "i.d.i.o.t", "2024", "de,&&&", "Ｍｏｒｏｎ", "tra$h.", "idi0t!", "1d10t$", "нет", "ελλαδα")] == ["idiot", "idiot", "idiot", "idiot", "2024", "de", "moron", "trash", "idiot", "idiot", "нет", "ελλαδα"]
 
 
 def test_exceptions_and_length():
