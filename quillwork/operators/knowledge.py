@@ -80,13 +80,25 @@ def significant_values(df: DataFrame, key: str, value: str, least_rows: int = 10
 
 
 def jaccard_adjacency(sets: DataFrame, key: str, items: str, above: float = 0.5) -> DataFrame:
-    """(a, b, jaccard), both ways, of keys whose item sets are more alike than the limit. Keys that share no item are never paired."""
-    sizes = sets.select(F.col(key).alias("k"), F.size(items).alias("size"))
-    long = sets.select(F.col(key).alias("k"), F.explode(items).alias("i"))
-    shared = long.alias("x").join(long.alias("y"), "i").where(F.col("x.k") < F.col("y.k")).groupBy(F.col("x.k").alias("a"), F.col("y.k").alias("b")).agg(F.count("*").alias("both"))
-    scored = shared.join(sizes.select(F.col("k").alias("a"), F.col("size").alias("sa")), "a").join(sizes.select(F.col("k").alias("b"), F.col("size").alias("sb")), "b")
-    scored = scored.withColumn("jaccard", F.col("both") / (F.col("sa") + F.col("sb") - F.col("both"))).where(F.col("jaccard") > above)
-    return scored.select("a", "b", "jaccard").unionByName(scored.select(F.col("b").alias("a"), F.col("a").alias("b"), "jaccard"))
+    """(a, b, jaccard), both ways, of keys whose item sets are more alike than the limit. Keys that share no item are never paired.
+
+    Items are ordered by the number of sets that hold them, rare ones first. Two sets that are alike enough share
+    one of their first size - ceil(limit * size) + 1 items, and their sizes are within the limit of each other; only
+    such pairs are formed, each once, and verified on the whole sets. So the items that most sets hold pair nothing.
+    Keys are unique; null items count in a set's size and are shared by none.
+    """
+    own = sets.select(F.col(key).alias("k"), F.array_distinct(items).alias("items")).withColumn("size", F.size("items"))
+    long = own.select("k", "size", F.explode(F.array_compact("items")).alias("i"))
+    ranked = long.join(long.groupBy("i").agg(F.count("*").alias("held")), "i")
+    prefix = F.col("size") - F.ceil(F.lit(above) * F.col("size") - 1e-9).cast("int") + 1
+    firsts = ranked.groupBy("k", "size").agg(F.array_sort(F.collect_list(F.struct("held", "i"))).alias("order")).select("k", "size", F.explode(F.slice("order", F.lit(1), F.greatest(prefix, F.lit(0))))).select("k", "size", "col.i")
+    x, y = firsts.alias("x"), firsts.alias("y")
+    sized = (F.col("x.size") >= F.col("y.size") * above) & (F.col("y.size") >= F.col("x.size") * above)
+    pairs = x.join(y, (F.col("x.i") == F.col("y.i")) & (F.col("x.k") < F.col("y.k")) & sized).select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct()
+    side = lambda n: own.select(F.col("k").alias(n), F.array_compact("items").alias(f"i{n}"), F.col("size").alias(f"s{n}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("both", F.size(F.array_intersect("ia", "ib")))
+    scored = both.withColumn("jaccard", F.col("both") / (F.col("sa") + F.col("sb") - F.col("both"))).where(F.col("jaccard") > above)
+    return scored.select(F.explode(F.array(F.struct("a", "b", "jaccard"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "jaccard"))).alias("p")).select("p.*")
 
 
 def culture_adjacency(cultures: DataFrame, above: float = 0.5) -> DataFrame:

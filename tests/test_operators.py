@@ -211,3 +211,17 @@ def test_disjoint_matching_never_leaves_edges_silently(spark):
     with pytest.raises(RuntimeError):
         two = spark.createDataFrame([(1, 2, 10.0), (3, 4, 10.0), (0, 1, 5.0), (0, 3, 4.0), (0, 5, 3.0)], path.schema)
         pairs.disjoint_matching(two, sinks.cutter(spark), most_rounds=1)
+
+
+@pytest.mark.parametrize("above", [0.0, 0.25, 0.5, 0.8, 0.99])
+def test_like_sets_are_found_by_prefixes(spark, above):
+    rng = np.random.default_rng(4)
+    sets = [(f"k{i}", sorted({"common", *(f"i{j}" for j in rng.zipf(1.4, rng.integers(1, 12)) % 40)})) for i in range(80)] + [("e", []), ("n", ["x", None]), ("n2", ["x", None])]
+    got = {(r.a, r.b): round(r.jaccard, 9) for r in knowledge.jaccard_adjacency(spark.createDataFrame(sets, "k string, items array<string>"), "k", "items", above).collect()}
+    want = {}
+    for a, x in sets:
+        for b, y in sets:
+            same = len({*x} & {*y} - {None})
+            if a != b and same and same / (len(x) + len(y) - same) > above:
+                want[a, b] = round(same / (len(x) + len(y) - same), 9)
+    assert got == want
