@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import let, squeeze
@@ -112,6 +112,46 @@ def parse_dimensions(raw: Column, compat_zero: bool = False) -> Column:
     return let(squeeze(raw), lambda s: _cascade(s, compat_zero))
 
 
+def parse_table(df: DataFrame, raw: str, name: str = "p", compat_zero: bool = False, cut=None) -> DataFrame:
+    """df with a column `name`, the same as parse_dimensions(raw), by dispatch on a text's shape.
+
+    No shape depends on how many digits a number has, so a text fits the one that its mask, with each run of digits as one,
+    fits. Masks are few where measures are many: only the different ones go through the cascade, and each row
+    then evaluates the one pattern that its mask names. The table of masks that fit anything is written (cut: to the shared folder), so
+    it is broadcast only if it is small.
+    """
+    from ..sources.sinks import cutter
+
+    rows = df.withColumn("__text", squeeze(F.col(raw))).withColumn("__mask", F.regexp_replace("__text", r"[0-9]+", "0"))
+    masks = rows.select("__mask").where("__mask is not null").distinct().withColumn("no", let(F.col("__mask"), _first_fit)).where("no is not null")
+    known = (cut or cutter(df.sparkSession))(masks.join(F.broadcast(shape_table(df.sparkSession)), "no").select(F.col("__mask").alias("__m"), F.struct("name", "pattern", "parts").alias("__shape")))
+    joined = rows.join(known, F.col("__mask") == F.col("__m"), "left")
+    shape = F.col("__shape")
+    drop_zero = F.lit(not compat_zero) | (shape["name"] == "labelled_h_w")
+
+    def measured(v: Column) -> Column:
+        value = F.call_function("regexp_extract", F.col("__text"), shape["pattern"], v["group"]).try_cast("double") * v["factor"]
+        return F.struct(v["attribute"].alias("attribute"), F.round(value, 2).alias("value"), F.lit(None).cast("string").alias("note"))
+
+    kept = lambda m: F.when(drop_zero, m["value"] > 0).otherwise(m["value"].isNotNull())
+    parts = F.transform(shape["parts"], lambda p: F.struct(p["part"].alias("part"), F.filter(F.transform(p["values"], measured), kept).alias("measurements")))
+    result = F.struct(shape["name"].alias("pattern_name"), F.struct(parts.alias("parts")).cast(DIMENSIONS).alias("dims"))
+    return joined.withColumn(name, F.when(shape.isNotNull(), result)).drop("__text", "__mask", "__m", "__shape")
+
+
+def shape_table(spark: SparkSession) -> DataFrame:
+    """(no, name, pattern, parts): the shapes as rows; parts hold an attribute, the pattern's group and the factor of each value."""
+    rows = [(no, name, pattern, [(label, values) for label, values in parts]) for no, (name, _, pattern, parts) in enumerate(shapes())]
+    return spark.createDataFrame(rows, "no int, name string, pattern string, parts array<struct<part:string,values:array<struct<attribute:string,group:int,factor:double>>>>")
+
+
+def _first_fit(s: Column) -> Column:
+    """The number of the first shape that fits; families are tried in the order in which they are listed."""
+    families = list(dict.fromkeys(x[1] for x in shapes()))
+    ordered = sorted(enumerate(shapes()), key=lambda x: families.index(x[1][1]))
+    return F.coalesce(*[F.when(s.rlike(x[2]), F.lit(no)) for no, x in ordered])
+
+
 def _kept(drop_zero: bool):
     return lambda m: m["value"] > 0 if drop_zero else m["value"].isNotNull()
 

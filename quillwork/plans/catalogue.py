@@ -21,6 +21,8 @@ def query(name: str, sql: str | None = None):
     """Register a query, and its SQL if it has one."""
 
     def add(fn: Callable[[SparkSession, str], DataFrame]):
+        if name in QUERIES:
+            raise ValueError(f"two queries are named {name}")
         QUERIES[name] = fn
         if sql:
             ORACLE[name] = sql
@@ -458,9 +460,9 @@ def _who(spark, d):
     return t(spark, d, "supplier").select("s_suppkey", F.concat(F.element_at(F.array(*map(F.lit, _WHO)), k), F.col("s_name")).alias("name"))
 
 
-@query("anonymous_names", f"""WITH n AS (SELECT s_suppkey, lower([{', '.join(map(repr, _WHO))}][s_suppkey % {len(_WHO)} + 1] || s_name) AS n FROM supplier)
+@query("anonymous_suppliers", f"""WITH n AS (SELECT s_suppkey, lower([{', '.join(map(repr, _WHO))}][s_suppkey % {len(_WHO)} + 1] || s_name) AS n FROM supplier)
 SELECT s_suppkey, regexp_matches(n, 'unknown|anonymous|unidentified|attributed to|style of|manner of') AS injected, regexp_matches(n, 'unknown|anonymous|unidentified|attributed to|workshop of|circle of|school of|style of|follower of') AS profiled FROM n""")
-def anonymous_names(spark, d):
+def anonymous_suppliers(spark, d):
     return _who(spark, d).select("s_suppkey", text.anonymous_for_injection(F.col("name")).alias("injected"), text.attributed(F.col("name")).alias("profiled"))
 
 
@@ -520,7 +522,7 @@ CASE k WHEN 0 THEN CAST(s + 0.5 AS DOUBLE) WHEN 1 THEN round(s * 0.1, 2) WHEN 2
 
 @query("dimension_parse", _DIMENSION_SQL)
 def dimension_parse(spark, d):
-    rows = text.parsed_once(rendered_dimensions(spark, d), "raw", "p", dimensions.parse_dimensions)
+    rows = dimensions.parse_table(rendered_dimensions(spark, d), "raw")
     rows = text.parsed_once(rows.withColumn("shown", dimensions.format_dimensions(F.col("p.dims"))), "shown", "again", dimensions.reparse_dimensions)
     first = dimensions.first_part_pivot(F.col("again"))
     return rows.select("p_partkey", "p.pattern_name", first["height"].alias("height"), first["width"].alias("width"))

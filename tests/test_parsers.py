@@ -68,3 +68,18 @@ ARTISTS = [
 def test_artists(spark):
     for want, r in zip(ARTISTS, spark.createDataFrame([(a[0],) for a in ARTISTS], "t string").coalesce(1).select(artist.parse_artist(F.col("t")).alias("p")).collect(), strict=True):
         assert r.p.status == want[1] and ([tuple(a) for a in r.p.artists] == [want[2]] if want[2] else not r.p.artists), want
+
+
+def test_dispatch_by_shape_equals_the_cascade(spark):
+    """Whatever the numbers, zeros and repeats included: the table form gives what the expression gives."""
+    from quillwork.operators import dimensions
+    from quillwork.plans.catalogue_shapes import TEXTS
+
+    numbers = [dict(zip("abcdef", x, strict=True)) for x in (("1", "22.5", "3", "4.75", "5", "6"), ("0", "0.0", "10", "007", "1", "2"), ("123456789", "1", "0", "9.99", "12", "3"))]
+    texts = [raw.format(**n) for raw, _, _ in TEXTS for n in numbers] + [None, "", "12", "x 1 cm", "1 x 2 x 3 x 4 cm", "height ٣ mm", "1" * 5000 + " x 2 cm"]
+    df = spark.createDataFrame(list(enumerate(texts * 2)), "k int, raw string").repartition(3)
+    for compat in (False, True):
+        out = dimensions.parse_table(df, "raw", compat_zero=compat).withColumn("same", F.col("p").eqNullSafe(dimensions.parse_dimensions(F.col("raw"), compat)))
+        rows = out.collect()
+        assert len(rows) == 2 * len(texts) and all(r.same for r in rows), [r.raw for r in rows if not r.same][:3]
+    assert dimensions.parse_table(df.limit(0), "raw").count() == 0
