@@ -8,7 +8,7 @@ from decimal import Decimal
 import duckdb
 import pytest
 
-from quillwork.plans import catalogue, catalogue_linked, catalogue_records, catalogue_shapes  # noqa: F401
+from quillwork.plans import catalogue, catalogue_linked, catalogue_records, catalogue_shapes, catalogue_tables  # noqa: F401
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
