@@ -89,12 +89,26 @@ def lunar_to_ce(year: Column) -> Column:
     return (year + 622 - F.floor(year / 33)).cast("int")
 
 
+#: Scalar functions for SQL: head and body. Each says what the Column function of its name says.
 SQL_FUNCTIONS = {
     "signed_year(y INT, bce BOOLEAN) RETURNS INT": "IF(coalesce(bce, false), -y, y)",
     "astronomical_year(y INT, bce BOOLEAN) RETURNS INT": "IF(coalesce(bce, false), 1 - y, y)",
+    "midpoint(b INT, b_bce BOOLEAN, e INT, e_bce BOOLEAN) RETURNS DOUBLE": "(IF(coalesce(b_bce, false), -b, b) + IF(coalesce(IF(e IS NULL, b_bce, e_bce), false), -coalesce(e, b), coalesce(e, b))) / 2.0D",
     "lunar_to_ce(y INT) RETURNS INT": "CAST(y + 622 - floor(y / 33) AS INT)",
     "squeeze(s STRING) RETURNS STRING": "trim(regexp_replace(s, '\\\\s+', ' '))",
     "slugify(s STRING) RETURNS STRING": "coalesce(nullif(substring(lower(regexp_replace(regexp_replace(trim(s), '\\\\s+', '_'), '[^\\\\w\\\\-.]', '')), 1, 120), ''), 'unknown')",
+    "nullish(s STRING) RETURNS BOOLEAN": "s IS NULL OR lower(regexp_replace(s, '^\\\\s+|\\\\s+$', '')) IN ('', 'nan', 'none', '{}', '[]', 'null')",
+    "clean_text(s STRING) RETURNS STRING": "lower(trim(coalesce(s, '')))",
+    "list_to_str(a ARRAY<STRING>) RETURNS STRING": "array_join(a, ', ')",
+    "jaccard(a ARRAY<STRING>, b ARRAY<STRING>) RETURNS DOUBLE": "coalesce(try_divide(size(array_intersect(a, b)), size(array_union(a, b))), 0.0D)",
+    "century_of(y INT) RETURNS INT": "CAST(floor((y - 1) / 100) + 1 AS INT)",
+    "decade_of(y INT) RETURNS INT": "CAST(floor(y / 10) * 10 AS INT)",
+    "inches_to_cm(x DOUBLE) RETURNS DOUBLE": "round(x * 2.54D, 2)",
+    "pounds_to_g(x DOUBLE) RETURNS DOUBLE": "round(x * 453.592D, 2)",
+    "dot(a ARRAY<DOUBLE>, b ARRAY<DOUBLE>) RETURNS DOUBLE": "aggregate(zip_with(a, b, (x, y) -> x * y), 0.0D, (s, x) -> s + x)",
+    "cosine(a ARRAY<DOUBLE>, b ARRAY<DOUBLE>) RETURNS DOUBLE": "try_divide(aggregate(zip_with(a, b, (x, y) -> x * y), 0.0D, (s, x) -> s + x), sqrt(aggregate(a, 0.0D, (s, x) -> s + x * x)) * sqrt(aggregate(b, 0.0D, (s, x) -> s + x * x)))",
+    "request_key(a STRING, b STRING) RETURNS STRING": "sha2(concat_ws('|', a, b), 256)",
+    "last_segment(u STRING) RETURNS STRING": "nullif(element_at(split(regexp_replace(u, '[/#?]+$', ''), '[/#]'), -1), '')",
 }
 
 

@@ -23,6 +23,7 @@ _BOUND = r"in\s+or\s+%s\s+(\d{3,4})(?:-\d{2}-\d{2})?"
 _UNSURE = ("possibly", "probably", "perhaps", "maybe", "about", "circa")
 #: The rewrites of the normaliser in order: name, pattern, replacement. Java syntax.
 RULES: list[tuple[str, str, str]] = [
+    ("bounded begin", r"(?i)^in\s+or\s+(?:before|after)\s+(\d{4})\s*-\s*(?!\d{2}-\d{2}$)", "$1-"),
     ("bounded end", rf"(?i)^(\d{{3,4}})\s*-\s*{_BOUND % '(?:before|after)'}$", "$1-$2"),
     ("bounded alone", rf"(?i)^{_BOUND % '(before|after)'}$", "$1 $2"),
     ("leading doubt", rf"(?i)^(?:{'|'.join(_UNSURE)}|ca?\.?)\s+(?=\S)", "ca. "),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import linked, lists, text
-from ..operators import inject, knowledge, medium, pairs, sampling, vocab
+from ..operators import dates, inject, knowledge, medium, pairs, sampling, vocab
 from ..sources import scans, sinks
 from .catalogue import query, t
 
@@ -206,3 +206,27 @@ def artist_errors(spark, d):
     n = F.col("n_nationkey")
     pool = t(spark, d, "nation").select((n % 5).alias("object_name"), F.when(n % 4 == 0, "Supplier#000000003").otherwise(F.col("n_name")).alias("artist_name"), (n * 3 + 1880).alias("year"), *fields.values())
     return inject.artist_error(r, pool, 2).select("object_ID", "artist_name_error")
+
+
+@query("date_bounds", """
+SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN y || '-' || (y + 5) WHEN 1 THEN y || '-' || (y + 9) WHEN 2 THEN y || '-' || (y + 3) ELSE 'before ' || y END AS normalized FROM (SELECT o_orderkey, year(o_orderdate) AS y FROM orders)""")
+def date_bounds(spark, d):
+    """Open bounds at either end of a range, at both, and alone with month and day."""
+    o = t(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("y"))
+    y = lambda n=0: (F.col("y") + n).cast("string")
+    k = F.col("o_orderkey") % 4
+    raw = F.when(k == 0, F.concat(F.lit("in or before "), y(), F.lit(" - "), y(5))).when(k == 1, F.concat(F.lit("In or after "), y(), F.lit(" – in or before "), y(9))).when(k == 2, F.concat(y(), F.lit(" - in or after "), y(3))).otherwise(F.concat(F.lit("in or before "), y(), F.lit("-05-12")))
+    return o.select("o_orderkey", dates.normalize_date(raw).alias("normalized"))
+
+
+@query("sql_functions_by_name", """
+SELECT p_partkey, CAST(CASE WHEN p_partkey % 2 = 0 THEN -p_size ELSE p_size END AS INTEGER) AS signed, CAST(CASE WHEN p_partkey % 2 = 0 THEN 1 - p_size ELSE p_size END AS INTEGER) AS astronomical, CASE WHEN p_partkey % 2 = 0 THEN -p_size ELSE p_size END / 1.0 AS middle,
+  CAST(p_size + 622 - p_size // 33 AS INTEGER) AS lunar, 'a ' || p_name AS squeezed, lower(replace(p_name, ' ', '_')) AS slug, p_partkey % 3 = 0 AS empty, lower(p_brand) AS cleaned, p_brand || ', x' AS listed, 1 / 3.0 AS alike,
+  CAST((p_size + 99) // 100 AS INTEGER) AS century, CAST(p_size // 10 * 10 AS INTEGER) AS decade, round(p_size * 2.54, 2) AS cm, round(p_size * 453.592, 2) AS grams, CAST(p_size * 2 AS DOUBLE) AS product, 1.0 AS angle, CAST(p_partkey AS VARCHAR) AS segment FROM part""")
+def sql_functions_by_name(spark, d):
+    """The scalar functions by their names in SQL."""
+    lists.register_sql(spark)
+    return spark.sql("""SELECT p_partkey, signed_year(k, p_partkey % 2 = 0) AS signed, astronomical_year(k, p_partkey % 2 = 0) AS astronomical, midpoint(k, p_partkey % 2 = 0, NULL, NULL) AS middle, lunar_to_ce(k) AS lunar,
+        squeeze('  a \n' || p_name || ' ') AS squeezed, slugify(' ' || p_name) AS slug, nullish(IF(p_partkey % 3 = 0, ' NaN', p_name)) AS empty, clean_text(' ' || p_brand) AS cleaned, list_to_str(array(p_brand, NULL, 'x')) AS listed,
+        jaccard(array(p_brand, 'x'), array('x', 'y')) AS alike, century_of(k) AS century, decade_of(k) AS decade, inches_to_cm(k) AS cm, pounds_to_g(k) AS grams, dot(array(1D, 0D), array(k * 2D, 5D)) AS product, cosine(array(1D, 1D), array(2D, 2D)) AS angle,
+        last_segment('http://x/y#' || p_partkey || '/') AS segment FROM (SELECT *, CAST(p_size AS INT) AS k FROM {part})""", part=t(spark, d, "part"))

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local one only where it is unset, as in tests."""
+    """The folder in spark.checkpoint.dir; a local one only where it is unset on one machine, as in tests. On a cluster that is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     known = spark.sparkContext._jsc.sc().getCheckpointDir()
     if not known.isDefined():
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quillwork-"))
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
     return known.get()
