@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import reduce
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 #: Texts that mean "no value" (fixed values).
 NULLISH = ("", "nan", "none", "{}", "[]", "null")
-#: Named character references that strip_html decodes beside all numeric ones; `amp` comes last.
+#: The commonest named character references, for checks in SQL; `amp` comes last. references() knows all.
 ENTITIES = {"nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "eacute": "é", "egrave": "è", "agrave": "à", "ccedil": "ç", "ouml": "ö", "uuml": "ü", "auml": "ä", "szlig": "ß", "ntilde": "ñ", "times": "×", "ndash": "–", "mdash": "—", "hellip": "…", "rsquo": "’", "lsquo": "‘", "rdquo": "”", "ldquo": "“", "copy": "©", "middot": "·", "amp": "&"}
 
 
@@ -48,14 +50,21 @@ def html_to_text(c: Column) -> Column:
     return trim_all(F.regexp_replace(c, r"\n{3,}", "\n\n"))
 
 
-def _numeric_references(c: Column) -> Column:
-    """&#233; and &#xe9; as the characters that they name; numbers that name none stay."""
+_REFERENCE = r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def references(c: Column) -> Column:
+    """Character references as the characters that they name: all named ones of HTML 5, &#233; and &#xe9;. What names none stays.
+
+    The text is split at its references once and put together again; nothing is decoded twice. References without a semicolon stay.
+    """
+    names = F.from_json(F.lit(json.dumps({f"&{k}": v for k, v in html5.items() if k.endswith(";")})), "map<string,string>")
     point = lambda x: F.when(F.lower(F.substring(x, 3, 1)) == "x", F.conv(F.regexp_extract(x, r"([0-9a-fA-F]+);$", 1), 16, 10)).otherwise(F.regexp_extract(x, r"(\d+);$", 1)).try_cast("int")
-    letter = lambda n: F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
-    known = lambda n: (n > 0) & (n < 0x110000) & ~n.between(0xD800, 0xDFFF)
-    found = F.array_distinct(F.regexp_extract_all(c, F.lit(r"(&#(?:\d{1,7}|[xX][0-9a-fA-F]{1,6});)"), F.lit(1)))
-    decoded = F.aggregate(found, c, lambda text, x: F.replace(text, x, F.when(known(point(x)), letter(point(x))).otherwise(x)))
-    return F.when(c.contains("&#"), decoded).otherwise(c)
+    letter = lambda n: F.when((n > 0) & (n < 0x110000) & ~n.between(0xD800, 0xDFFF), F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+    one = lambda x: F.coalesce(F.when(F.substring(x, 2, 1) == "#", letter(point(x))).otherwise(F.try_element_at(names, x)), x)
+    found = F.transform(F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(0)), one)
+    pieces = F.zip_with(F.split(c, _REFERENCE, -1), F.concat(found, F.array(F.lit(""))), lambda a, b: F.concat(a, b))
+    return F.when(c.contains("&"), F.array_join(pieces, "")).otherwise(c)
 
 
 def parsed_once(df: DataFrame, column: str, name: str, parse: Callable[[Column], Column]) -> DataFrame:
@@ -72,8 +81,7 @@ def strip_html(c: Column) -> Column:
     """One line per line of text: <br> is a blank, tags go (across lines too), references are decoded, blanks are squeezed. Null gives ''."""
     c = F.regexp_replace(c, r"(?i)<br\s*/?>", " ")
     c = F.regexp_replace(c, r"(?s)<[^>]+>", "")
-    c = reduce(lambda x, e: F.replace(x, F.lit(f"&{e[0]};"), F.lit(e[1])), ENTITIES.items(), c)
-    c = F.replace(_numeric_references(c), F.lit("\u00a0"), F.lit(" "))
+    c = F.replace(let(c, references), F.lit("\u00a0"), F.lit(" "))
     lines = F.transform(F.split(c, "\n"), lambda x: F.trim(F.regexp_replace(x, r"[ \t]+", " ")))
     return F.coalesce(trim_all(F.array_join(lines, "\n")), F.lit(""))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import html
 import io
 import json
 
@@ -27,6 +28,8 @@ def test_text_functions(spark):
     assert [one(spark, lists.clean_year(F.lit(x))) for x in ("ca. 1850s", "87 AD", "{}")] == ["1850", "87", None]
     assert one(spark, text.propagate(F.lit("Monet's garden, by MONET"), F.lit("monet"), F.lit("A. $1 B"))) == "A. $1 B's garden, by A. $1 B"
     assert one(spark, text.strip_html(F.lit("<p>a&nbsp;b<br>c &amp; d</p>"))) == "a b c & d"
+    for raw in ("&lt;b&gt; &euro;&Aacute;&CounterClockwiseContourIntegral;&amp;lt;&#233;&#xE9;", "&fjlig; & &no; &#1114112; &;", "&bne;&amp;#65;", "none", ""):
+        assert one(spark, text.references(F.lit(raw))) == (raw if "&no;" in raw else html.unescape(raw)).replace("&fjlig;", "fj")
     assert one(spark, text.nfkc(F.lit("½ ﬁ"))) == "1⁄2 fi"
     assert one(spark, text.date_label(F.lit(300.0), F.lit(200.0), F.lit(True), F.lit(True))) == "300 BCE - 200 BCE"
     assert one(spark, text.json_from_model(F.lit("```json\n{\"a\": 1}\n```"), "a int")["a"]) == 1
