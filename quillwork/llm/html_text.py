@@ -236,7 +236,11 @@ def main_text(page: str | None, tree: Node | None = None) -> str:
 
 
 def extract(pages: DataFrame, tree: Node | None = None) -> DataFrame:
-    """page_id, url, text, n_chars for every row of pages, whole html. Null html is empty; ids and urls are kept as they are."""
+    """page_id, url, text, n_chars for every row of pages, whole html.
+
+    Null and empty html give an empty text; null ids and urls are kept as they are. Repeated rows give repeated results, an empty
+    table gives no rows; other columns are not read.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_blocks(batches, "html"):

@@ -198,7 +198,10 @@ def identify(docs: DataFrame, model: Model | None, reject: bool = True) -> DataF
 
 
 def keep_identified(docs: DataFrame, model: Model | None) -> DataFrame:
-    """The rows of docs, all their columns, that the model doesn't reject. Without any model no row can be identified and all rows stay."""
+    """The rows of docs, all their columns, that the model doesn't reject. Without any model no row can be identified and all rows stay.
+
+    Null texts and texts without a letter go; repeated rows are judged one by one, null ids are kept.
+    """
     if model is None:
         return docs
     schema = docs.schema

@@ -19,63 +19,73 @@ def tokenizer_path(name: str) -> str:
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL by the rules, else by trees trained on labelled URLs. For odd input see url_filter.judge()."""
     model = url_filter.train(url_filter.labelled_urls(spark))
     return url_filter.judge(table(spark, sf_dir, "pages"), model)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity. For odd input see toxicity.score_documents()."""
     docs = table(spark, sf_dir, "documents")
     lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.score_documents(docs, lexicon).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint beside its edited text's and the next document's. For odd input see fingerprint.compare_with_next()."""
     return fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of 4,096 tokens. For odd input see packing.pack_documents()."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, none rejected. For odd input see langid.identify()."""
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs)
     return langid.identify(docs, model, reject=False).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token count and digests of its ids and of what they decode to. For odd input see bpe.digest_documents()."""
     return bpe.digest_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pseudo-likelihood. For odd input see lm_score.score_documents()."""
     docs = table(spark, sf_dir, "documents")
     return lm_score.score_documents(docs, lm_score.fit(docs))
 
 
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's links and component. For odd input see near_vectors.near_duplicates()."""
     return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's set size and component. For odd input see ngram_join.classes()."""
     return ngram_join.classes(table(spark, sf_dir, "documents"))
 
 
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text. For odd input see html_text.extract()."""
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
 def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 50 best of all documents for every benchmark item."""
+    """The 50 best of all documents for every benchmark item. For odd input see lexical_search.search()."""
     return lexical_search.search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Personal data of all documents: base spans and terms that disclose them."""
+    """Personal data of all documents: base spans and terms that disclose them. For odd input see pii.find()."""
     return pii.report(spark, table(spark, sf_dir, "documents"))
 
 
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every frequent word of all documents with its form and root."""
+    """Every frequent word of all documents with its form and root. For odd input see spelling.word_counts()."""
     return spelling.variants(spark, table(spark, sf_dir, "documents"))
 
 

@@ -160,7 +160,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, size: int = LE
     Uses at most about `sample` toxic and `sample` clean documents, chosen by a hash of their id. A term
     enters if so many toxic rows with it, and so few clean ones, are no chance find among all the terms; `size`
     is the most learned terms that the model has, the strongest ones.
-    Rows whose label or id is null, and ids labelled both ways, are not used.
+    Rows whose label or id is null, and ids labelled both ways, are not used. Where no documents of both kinds are
+    left, as in an empty table, the seed words judge with the weights that they come with.
     """
     labels = labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("high")).where("toxic = high").drop("high")
     n = {r["toxic"]: r["n"] for r in labels.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -192,6 +193,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, size: int = LE
         terms[r["term"]] = max(terms.get(r["term"], 0.0), min(6.0, math.log((r["pos"] + 0.5) / used_pos) - math.log((r["neg"] + 0.5) / used_neg)))
     lexicon = Lexicon(terms)
     measured = rows.mapInArrow(_measurer(lexicon, ["toxic"]), "toxic long, total double, n_words long").groupBy("toxic", F.round("total", 1).alias("total"), (F.round(F.log1p("n_words") * 20) / 20).alias("words")).agg(F.count("*").alias("n")).collect()
+    if {r["toxic"] for r in measured} != {0, 1}:  # labels of both kinds, but not of these documents
+        return lexicon
     lexicon.coef = _calibrate([(features(r["total"], math.expm1(r["words"])), float(r["toxic"]), r["n"]) for r in measured])
     return lexicon
 
