@@ -111,3 +111,51 @@ def dimension_shapes(spark, d):
 def dimension_cascade(spark, d):
     """The same texts through the expression, counted by shape."""
     return shaped_texts(spark, d).groupBy(dimensions.parse_dimensions(F.col("raw"))["pattern_name"].alias("pattern_name")).agg(F.count("*").alias("n"))
+
+
+#: Artist text, status, makers, then the first one's nationality, begin and end as SQL. n is a name; a, b, y, d are years of the row.
+MAKERS = [
+    ("{n}\nDutch, {a}–{b}", "parsed", 1, "'Dutch'", "a", "b"),
+    ("{n} (Dutch, {a}-{b})", "parsed", 1, "'Dutch'", "a", "b"),
+    ("{n} (Dutch, ca. {a} – ca. {b})", "parsed", 1, "'Dutch'", "a", "b"),
+    ("{n} (South Dutch, {a}–{y})", "parsed", 1, "'South Dutch'", "a", "b"),
+    ("{n} (born {a})", "parsed", 1, "NULL", "a", "NULL"),
+    ("{n} (French, died {b})", "parsed", 1, "'French'", "NULL", "b"),
+    ("{n} (Flemish, active {d}s)", "parsed", 1, "'Flemish'", "d", "d + 9"),
+    ("{n} (Italian, 16th century)", "parsed", 1, "'Italian'", "1500", "1599"),
+    ("{n} (Italian, 16th–17th century)", "parsed", 1, "'Italian'", "1500", "1699"),
+    ("{n} (Italian, founded {a})", "parsed", 1, "'Italian'", "a", "NULL"),
+    ("{n} (Dutch, {a}/64–{b})", "parsed", 1, "'Dutch'", "a", "b"),
+    ("{n} (Dutch, active ca. {a}-{b})", "parsed", 1, "'Dutch'", "a", "b"),
+    ("{n} (Dutch, {a})", "parsed", 1, "'Dutch'", "a", "NULL"),
+    ("{n} (Dutch, {a}-{b})\n\n Mary Stone (French, {a}-{b})", "parsed", 2, "'Dutch'", "a", "b"),
+    ("Flemish", "non_artist", 0, "NULL", "NULL", "NULL"),
+    ("Workshop of {n} (Dutch, {a}–{b})", "unparsed", 0, "NULL", "NULL", "NULL"),
+    ("{n} (Dutch, {a}–{b}) and Jan Doe (Dutch, {a}-{b})", "unparsed", 0, "NULL", "NULL", "NULL"),
+    ("{n}\n(odd)", "unparsed", 0, "NULL", "NULL", "NULL"),
+    ("{n}", "unparsed", 0, "NULL", "NULL", "NULL"),
+    (" ", None, None, "NULL", "NULL", "NULL"),
+]
+_YEARS = {"a": "1600 + k % 40", "b": "1650 + k % 40", "y": "50 + k % 40", "d": "1600 + k % 9 * 10"}
+
+
+def _maker_cases(column: int, quote: bool = False) -> str:
+    years = lambda x: re.sub(r"\b([abd])\b", lambda m: f"({_YEARS[m[1]]})", x)
+    shown = lambda x: "NULL" if x is None else f"'{x}'" if quote else years(x) if isinstance(x, str) and not x.startswith("'") else str(x)
+    return "CASE " + " ".join(f"WHEN k % {len(MAKERS)} = {i} THEN {shown(row[column])}" for i, row in enumerate(MAKERS)) + " END"
+
+
+@query("artist_shapes", f"""
+SELECT k, {_maker_cases(1, True)} AS status, CAST({_maker_cases(2)} AS INTEGER) AS makers, CASE WHEN {_maker_cases(2)} > 0 THEN 'Ann ' || translate(c_name, '#0123456789', ' abcdefghij') END AS name, {_maker_cases(3)} AS nationality,
+  CAST({_maker_cases(4)} AS VARCHAR) AS begun, CAST({_maker_cases(5)} AS VARCHAR) AS ended FROM (SELECT c_custkey AS k, c_name FROM customer)""")
+def artist_shapes(spark, d):
+    """Names and details on a line or on two, dates of every form, several makers, places, attributions and what can't be read."""
+    from ..operators.artist import parse_artist
+
+    rows = t(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.concat(F.lit("Ann "), F.translate("c_name", "#0123456789", " abcdefghij")).alias("n"))
+    raw = F.element_at(F.array(*[F.lit(x[0]) for x in MAKERS]), (F.col("k") % len(MAKERS) + 1).cast("int"))
+    for name, sql in _YEARS.items():
+        raw = F.replace(raw, F.lit(f"{{{name}}}"), F.expr(f"cast({sql} as string)"))
+    out = rows.select("k", parse_artist(F.replace(raw, F.lit("{n}"), F.col("n"))).alias("p"))
+    first = F.try_element_at("p.artists", F.lit(1))
+    return out.select("k", "p.status", F.when(F.col("p").isNotNull(), F.size("p.artists")).alias("makers"), first["artist_name"].alias("name"), first["artist_nationality"].alias("nationality"), first["artist_date_begin"].alias("begun"), first["artist_date_end"].alias("ended"))
