@@ -39,9 +39,14 @@ def mask_dimensions(c: Column) -> Column:
     return F.trim(F.regexp_replace(reduce(lambda s, m: F.regexp_replace(s, m[0], m[1]), DIMENSION_MASKS, F.lower(c)), r"\s+", " "))
 
 
-def mask_dates(c: Column) -> Column:
+def mask_dates(c: Column, digits: str = r"\d{1,4}") -> Column:
     """A mask stands for four digits at most, so that longer numbers differ from years."""
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(c), r"\d{1,4}", "<NUM>"), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(c), digits, "<NUM>"), r"\s+", " "))
+
+
+def mask_numbers(c: Column) -> Column:
+    """A mask stands for a whole number, of any length."""
+    return mask_dates(c, r"\d+")
 
 
 def mask_artists(c: Column) -> Column:

@@ -38,3 +38,11 @@ def test_query(spark, duck, sf_dir, name):
         names = [c[0] for c in found.description]
         assert sorted(names) == columns
         assert rows == sorted((tuple(plain(r[names.index(c)]) for c in columns) for r in found.fetchall()), key=repr)
+
+
+def test_template_induction_of_long_ids(spark, duck, tmp_path):
+    """Numbers of five digits and more are one mask in a conversation's line, as in the SQL."""
+    duck.execute(f"copy (select conv_id + n * 100000 as conv_id, turn, role, text from conversations, range(2) t(n)) to '{tmp_path}/conversations.parquet' (format parquet)")
+    got = sorted(tuple(r) for r in catalogue.QUERIES["template_induction"](spark, str(tmp_path)).select("template", "n", "example").collect())
+    sql = catalogue.ORACLE["template_induction"].replace("FROM conversations", f"FROM '{tmp_path}/conversations.parquet'")
+    assert got == sorted(tuple(r) for r in duck.execute(f"select template, n, example from ({sql})").fetchall())
