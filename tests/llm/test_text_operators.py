@@ -266,6 +266,26 @@ def test_rare_words_and_documents_beyond_the_sample_count(spark):
     assert np.abs(after.out - before.out).max() > 0, "all documents train the network"
 
 
+def test_every_word_has_its_exact_share(spark):
+    """Words of one bucket differ by their counts however rare they are, whether tasks hold their shares or not."""
+    import numpy as np
+
+    rows = [(i, f"{'often ' * 8}twice{i // 2} thrice{i // 3} once{i}") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    probes = [(1, "often once1"), (1, "often twice1"), (2, "often thrice1"), (None, "often thrice1 once1 once1"), (4, "often never"), (5, None)]
+    found = []
+    for held in (1 << 20, 40, 0):
+        model = lm_score.fit(docs, words=1, buckets=1, sample_docs=1, most_held=held)
+        assert (model.rest is None) == (held > 1000) and len(model.shares.hashes) == {1 << 20: 165, 40: 30, 0: 0}[held]
+        out = lm_score.score_documents(spark.createDataFrame(probes, "doc_id long, text string"), model).collect()
+        assert len(out) == len(probes)
+        found.append(sorted((r.doc_id or 0, r.n_tokens, r.log_prob) for r in out))
+    for (_, n, a), (_, m, b), (_, k, c) in zip(*found, strict=True):
+        assert n == m == k and abs(a - b) < 1e-4 and abs(a - c) < 1e-4
+    scores = sorted(x for d, n, x in found[0] if n == 2 and d in (1, 2))
+    assert abs(scores[1] - scores[0] - np.log(2)) < 1e-4 and abs(scores[2] - scores[0] - np.log(3)) < 1e-4
+
+
 # ---------------------------------------------------------------- html
 
 PAGES = [
