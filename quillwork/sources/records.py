@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import xml.etree.ElementTree as ET
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,22 +76,54 @@ def plain_xml(xml: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(bare, r"<(/?)\w+:", "<$1"), r"\s\w+:(\w+=)", " $1")
 
 
+def _found(root: ET.Element, path: str) -> list[str]:
+    """The texts or attributes at //tag/text() or //tag/@name, in the order of the document; comments part texts, as in XPath."""
+    tag, what = path.removeprefix("//").split("/")
+    if what.startswith("@"):
+        return [e.attrib[what[1:]] for e in root.iter(tag) if what[1:] in e.attrib]
+    return [x for e in root.iter(tag) for x in (e.text, *(c.tail for c in e)) if x]
+
+
+def values_at(xml: Column, paths: list[str]) -> Column:
+    """For each of the paths, of the forms //tag/text() and //tag/@name, all that it finds; each record is parsed once. Null for null and broken XML."""
+
+    def one(text: str | None) -> list[list[str]] | None:
+        if text is None:
+            return None
+        try:
+            root = ET.fromstring(text, ET.XMLParser(target=ET.TreeBuilder(insert_comments=True, insert_pis=True)))
+        except ET.ParseError:
+            return None
+        return [_found(root, p) for p in paths]
+
+    return F.pandas_udf(lambda texts: pd.Series([one(x) for x in texts], dtype=object), "array<array<string>>")(plain_xml(xml))
+
+
+def _joined(found: Column) -> Column:
+    """Found texts without white space at their ends and empty ones, joined by ', '; null without any."""
+    return F.nullif(F.array_join(F.filter(F.transform(found, lambda x: F.trim(x)), lambda x: x != ""), ", "), F.lit(""))
+
+
 def aggregated_uri(xml: Column) -> Column:
     """The URI of the object that a record aggregates, else of the aggregation itself."""
-    doc = plain_xml(xml)
-    pick = lambda p: F.nullif(F.xpath_string(doc, F.lit(p)), F.lit(""))
-    return F.coalesce(pick("//aggregatedCHO/@resource"), pick("//Aggregation/@about"))
+    found = values_at(xml, ["//aggregatedCHO/@resource", "//Aggregation/@about"])
+    return F.coalesce(*[F.nullif(F.get(F.get(found, F.lit(i)), F.lit(0)), F.lit("")) for i in range(2)])
 
 
 def literals(xml: Column, path: str) -> Column:
     """All texts at a path, joined by ', '; null without any."""
-    found = F.filter(F.transform(F.xpath(plain_xml(xml), F.lit(path)), lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != ""))
-    return F.nullif(F.array_join(found, ", "), F.lit(""))
+    return _joined(F.get(values_at(xml, [path]), F.lit(0)))
 
 
 def fill_from_rdf(df: DataFrame, xml: str = "xml") -> DataFrame:
-    """df with its empty fields filled from the record's XML, each from the first path that has something; filled ones stay."""
-    return df.withColumns({field: F.coalesce(real(F.col(field)), *[literals(F.col(xml), p) for p in paths]) for field, paths in RDF_PATHS.items() if field in df.columns})
+    """df with its empty fields filled from the record's XML, each from the first path that has something; filled ones stay. A record is parsed once, and only if a field is empty."""
+    fields = [f for f in RDF_PATHS if f in df.columns]
+    if not fields:
+        return df
+    paths = [p for f in fields for p in RDF_PATHS[f]]
+    empty = reduce(lambda a, b: a | b, [real(F.col(f)).isNull() for f in fields])
+    found = df.withColumn("__found", values_at(F.when(empty, F.col(xml)), paths))
+    return found.withColumns({f: F.coalesce(real(F.col(f)), *[_joined(F.get("__found", F.lit(paths.index(p)))) for p in RDF_PATHS[f]]) for f in fields}).drop("__found")
 
 
 def resolve_references(nodes: DataFrame, references: DataFrame) -> DataFrame:

@@ -71,3 +71,20 @@ def test_tree_with_rings_and_two_roots(spark):
     sets = spark.createDataFrame([("a", None), ("b", "a"), ("c", "b"), ("c", "d"), ("d", "gone"), ("x", "y"), ("y", "x"), ("b", "c")], "id string, parent string")
     assert sorted(map(tuple, ld.tree_listing(sets).collect())) == [("a", "a", 0), ("b", "a", 1), ("b", "d", 2), ("c", "a", 2), ("c", "d", 1), ("d", "d", 0)]
     assert ld.tree_listing(sets.where(F.lit(False))).count() == 0
+
+
+def test_values_of_xml_are_those_of_xpath(spark):
+    """One parse of a record finds what XPath finds; broken records give nothing and stop nothing."""
+    from quillwork.sources import records
+
+    good = [
+        '<r xmlns:dc="urn:d"><dc:medium> oil </dc:medium><medium>on<!-- c --> wood<b>x</b> panel</medium><w><medium><![CDATA[a & b]]></medium></w></r>',
+        '<r><Agg rdf:about="" dc:medium="m"/><Agg about="u&amp;v"/><medium/><medium> </medium></r>', "<medium>top</medium>", "<r/>",
+    ]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(good)], "id int, xml string")
+    paths = ["//medium/text()", "//Agg/@about"]
+    want = {r.id: [r.a, r.b] for r in df.select("id", *[F.xpath(records.plain_xml(F.col("xml")), F.lit(p)).alias(n) for n, p in zip("ab", paths, strict=True)]).collect()}
+    assert {r.id: r.v for r in df.select("id", records.values_at(F.col("xml"), paths).alias("v")).collect()} == want
+    odd = spark.createDataFrame([(1, "<r><medium>", "nan"), (2, None, "kept"), (3, "", None), (4, "<r><medium>ink</medium></r>", "")], "id int, xml string, material string")
+    assert [r.material for r in records.fill_from_rdf(odd).orderBy("id").collect()] == [None, "kept", None, "ink"]
+    assert [r.u for r in odd.select(records.aggregated_uri(F.col("xml")).alias("u")).collect()] == [None] * 4
