@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import xml.etree.ElementTree as ET
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -176,14 +178,32 @@ def records(objects: DataFrame, documents: DataFrame) -> DataFrame:
 IMPORTANT = r"(?i)\b(public|domain|painting|paintings|schilderij|schilderijen|sculpture|beeldhouwwerken|keramiek|porselein|porcelain)\b"
 
 
+def _listed_sets(pages: pd.Series) -> pd.Series:
+    """The sets of each list response, with the number of their element in document order; null for null and broken XML."""
+
+    def plain(tag: str) -> str:
+        return tag.rsplit("}", 1)[-1]
+
+    def greatest(of: ET.Element, tag: str) -> str:
+        return max(((e.text or "").strip() for e in of if plain(e.tag) == tag), default="")
+
+    def one(xml: str | None) -> list[dict] | None:
+        try:
+            root = ET.fromstring(xml) if xml else None
+        except ET.ParseError:
+            return None
+        if root is not None:
+            return [{"position": i, "spec": greatest(e, "setSpec"), "name": greatest(e, "setName")} for i, e in enumerate(root.iter()) if plain(e.tag) == "set"]
+        return None
+
+    return pd.Series([one(x) for x in pages], dtype=object)
+
+
 def set_catalogue(pages: DataFrame) -> DataFrame:
     """(spec, name, important) of the sets in list responses (page, xml), in the order of pages and elements as `position`; broken pages give no rows."""
-    register(pages.sparkSession)
-    tree = pages.sparkSession.sql("SELECT p.page, t.* FROM {pages} p, LATERAL xml_tree(p.xml) t", pages=pages)
-    text = lambda tag: F.coalesce(F.max(F.when(F.col("tag") == tag, F.trim("text"))), F.lit(""))
-    fields = tree.where(F.col("tag").isin("setSpec", "setName")).groupBy("page", F.col("parent").alias("node")).agg(text("setSpec").alias("spec"), text("setName").alias("name"))
-    sets = tree.where(F.col("tag") == "set").select("page", "node").join(fields, ["page", "node"], "left")
-    return sets.select("page", F.col("node").alias("position"), F.coalesce("spec", F.lit("")).alias("spec"), F.coalesce("name", F.lit("")).alias("name"), F.coalesce(F.col("name").rlike(IMPORTANT), F.lit(False)).alias("important"))
+    listed = F.pandas_udf(_listed_sets, "array<struct<position:int,spec:string,name:string>>")
+    sets = pages.select("page", F.explode(listed("xml")).alias("s")).select("page", "s.*")
+    return sets.select("page", "position", "spec", "name", F.col("name").rlike(IMPORTANT).alias("important"))
 
 
 def tree_listing(sets: DataFrame, cut=None) -> DataFrame:

@@ -88,3 +88,14 @@ def test_values_of_xml_are_those_of_xpath(spark):
     odd = spark.createDataFrame([(1, "<r><medium>", "nan"), (2, None, "kept"), (3, "", None), (4, "<r><medium>ink</medium></r>", "")], "id int, xml string, material string")
     assert [r.material for r in records.fill_from_rdf(odd).orderBy("id").collect()] == [None, "kept", None, "ink"]
     assert [r.u for r in odd.select(records.aggregated_uri(F.col("xml")).alias("u")).collect()] == [None] * 4
+
+
+def test_set_catalogue_parses_a_page_once_and_shuffles_nothing(spark):
+    xml = "<l xmlns:o='urn:o'><o:set><setSpec>a</setSpec><o:setName> Paintings </o:setName></o:set><x/><set><setName>b</setName><setName>c</setName><in><setSpec>z</setSpec></in></set></l>"
+    pages = spark.createDataFrame([(1, xml), (1, xml), (2, "<l><set>"), (3, None), (None, "<set/>")], "page int, xml string")
+    out = ld.set_catalogue(pages)
+    got = sorted((r.page or 0, r.position, r.spec, r.name, r.important) for r in out.collect())
+    one = [(1, 1, "a", "Paintings", True), (1, 5, "", "c", False)]
+    assert got == sorted([(0, 0, "", "", False), *one, *one])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("ArrowEvalPython") == 1
