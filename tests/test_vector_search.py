@@ -46,3 +46,20 @@ def test_neighbours_of_odd_input(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0])], "id long, e array<double>")
     assert sorted((r.query, r.neighbour, r.score) for r in vectors.top_k(df, df, "id", "e", 5).collect()) == [(1, 3, 0.0), (3, 1, 0.0)]
     assert vectors.top_k(df.limit(0), df, "id", "e", 5).count() == 0 and vectors.top_k(df, df.limit(0), "id", "e", 5).count() == 0
+
+
+def test_blocks_grow_with_the_table_and_floors_hold_back_scores(spark, monkeypatch):
+    """A table of many blocks is dealt into fewer, larger ones; a block gives back what reaches each query's own floor, ties included."""
+    m = np.random.default_rng(1).normal(size=(600, 8))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(m)], "id long, e array<double>")
+    found, compared = [], []
+    for larger in (1, 8):
+        for name, value in (("BLOCK", 30), ("A_CLUSTER", 15), ("BLOCKS", 4), ("LARGER", larger)):
+            monkeypatch.setattr(vectors, name, value)
+        report: dict = {}
+        found.append(sorted((r.query, r.neighbour, round(r.score, 9), r.rank) for r in vectors.top_k(df, df, "id", "e", 3, 0.2, 0.7, report=report).collect()))
+        compared.append(report["compared"])
+    assert found[0] == found[1] == brute((np.arange(600), m), (np.arange(600), m), 3, 0.2, 0.7) and compared[1] * 8 < compared[0]
+    y = np.array([[1.0, 0.0], [0.6, 0.8], [0.6, -0.8], [0.0, 1.0]])
+    best = vectors._best(np.array([10, 11]), y[[0, 0]], np.arange(4), y, 3, np.array([0.6, 0.9]), 2.0)
+    assert best.values.tolist() == [[10, 0, 1.0], [10, 1, 0.6], [10, 2, 0.6], [11, 0, 1.0]]
