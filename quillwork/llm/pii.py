@@ -1,10 +1,14 @@
-"""Personal data: patterns with exact spans, then information-theoretic sanitisation of the words around them.
+"""Personal data: patterns with exact spans, then information-theoretic sanitisation of the words of their texts.
 
 A protected entity is one value found by the patterns: an address, a card number, a phone number. Its information
-content is IC(c) = ln(N / documents with c). A word t near it discloses PMI(c; t) = ln(N * both / (with c * with t)) of that;
-if both only ever occur together, that is all of it. Counts are taken over all documents. A word whose disclosure
-reaches GENERALISE of IC(c), seen in at least SUPPORT different contexts of c, is generalised to its kind
-wherever it stands beside c; one that reaches REMOVE is removed. Everything is DataFrame expressions; no Python runs in the executors.
+content is IC(c) = ln(N / documents with c). A word t of the same text, wherever it stands, discloses
+PMI(c; t) = ln(N * both / (with c * with t)) of that; if both only ever occur together, that is all of it. Counts are taken
+over all documents. A word whose disclosure reaches GENERALISE of IC(c), seen with c in at least SUPPORT different texts, is
+generalised to its kind in all texts with c; one that reaches REMOVE is removed. Everything is DataFrame expressions; no Python
+runs in the executors.
+
+Entities that stand in the same texts are one class, and so are words: pairs are counted between classes, so that copied lists
+of many addresses are not multiplied with all words around them.
 
 Spans are found by splitting a text at the matches: lengths of gaps and matches, summed up, give the places, in one pass.
 """
@@ -29,14 +33,11 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: A word that may disclose: letters only, between white space or brackets and the punctuation that ends it.
-WORD = r"(?<![^\s(\[\"'])\p{L}[\p{L}'’-]{2,}+(?=[.,;:!?)\]\"']*+(?:\s|$))"
-#: Code points on either side of an entity in which words are looked at.
-WINDOW = 60
-#: Different contexts that must show a word beside an entity, and the shares of the entity's information from which it is generalised or removed.
+#: Words, and as group 1 those that may disclose: letters only, between white space or brackets and the punctuation that ends
+#: it. Others are matched as well, so that a search goes on behind them and hostile runs stay linear.
+WORD = r"(?<![^\s(\[\"'])(?:(\p{L}[\p{L}'’-]{2,}+)(?=[.,;:!?)\]\"']*+(?:\s|$))|\p{L}[\p{L}'’-]{2,}+)"
+#: Different texts that must show a word with an entity, and the shares of the entity's information from which it is generalised or removed.
 SUPPORT, GENERALISE, REMOVE = 3, 0.8, 0.95
-#: Rows up to which a table of terms is broadcast: some 100 bytes each.
-SMALL = 100_000
 #: Code points of a piece from which cleaned texts are put together.
 CHUNK = 1_000
 
@@ -81,33 +82,36 @@ def _entity(kind: str, value: Column) -> Column:
     return F.concat(F.lit(f"{kind}:"), value if kind == "ip" else F.regexp_replace(value, "[^0-9]", ""))
 
 
-def base_spans(docs: DataFrame) -> DataFrame:
-    """Every row's doc_id with the key of its text, its base spans and what stands beside them.
+def _words(text: Column) -> Column:
+    """(term, start, stop) of every word of text that may disclose."""
+    plain = F.regexp_extract_all(text, F.lit(WORD), F.lit(1))
 
-    spans: (start, kind, stop, entity, left, right) by start and kind; start and stop count code points, stop is
-    exclusive; left and right hold up to WINDOW code points between the span and the next of its kind, without words
-    that the window cuts. Null text is empty. Null ids and repeated rows are kept, other columns are not read.
-    """
+    def all_of(found: Column, _: Column, ends: Column) -> Column:
+        one = lambda m, i: F.struct(F.lower(m).alias("term"), (F.get(ends, i) - F.length(m)).alias("start"), F.get(ends, i).alias("stop"))
+        return F.filter(F.transform(plain, one), lambda w: w["term"] != "")
 
-    def before(gap: Column) -> Column:
-        return F.when(F.length(gap) > WINDOW, F.regexp_replace(F.right(gap, F.lit(WINDOW)), r"^\S+", "")).otherwise(gap)
+    return _with_places(text, WORD, all_of)
 
-    def behind(gap: Column) -> Column:
-        return F.when(F.length(gap) > WINDOW, F.regexp_replace(F.left(gap, F.lit(WINDOW)), r"\S+$", "")).otherwise(gap)
 
-    def spans(no: int, kind: str) -> Column:
-        def all_of(found: Column, gaps: Column, ends: Column) -> Column:
-            def one(m: Column, i: Column) -> Column:
-                stop = F.get(ends, i)
-                return F.struct((stop - F.length(m)).alias("start"), F.lit(no).alias("kind"), stop.alias("stop"), m.alias("entity"), before(F.get(gaps, i)).alias("left"), behind(F.get(gaps, i + 1)).alias("right"))
+def base_spans(docs: DataFrame) -> DataFrame:
+    """Every row's doc_id with the key of its text, its base spans and, beside any, all words of its text.
 
+    spans: (start, kind, stop, entity) by start and kind; words: (term, start, stop), null without spans. Places count code
+    points, stop is exclusive. Null text is empty. Null ids and repeated rows are kept, other columns are not read.
+    """
+
+    def spans(no: int, kind: str) -> Column:
+        def all_of(found: Column, _: Column, ends: Column) -> Column:
+            one = lambda m, i: F.struct((F.get(ends, i) - F.length(m)).alias("start"), F.lit(no).alias("kind"), F.get(ends, i).alias("stop"), m.alias("entity"))
             held = F.filter(F.transform(found, one), lambda s: _valid(kind, s["entity"]))
             return F.transform(held, lambda s: s.withField("entity", _entity(kind, s["entity"])))
 
         return _with_places(F.col("text"), PATTERNS[kind], all_of)
 
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return text.select("doc_id", F.xxhash64("text").alias("text_hash"), F.hash("text").alias("text_check"), F.sort_array(F.concat(*[spans(i, k) for i, k in enumerate(KINDS)])).alias("spans"))
+    all_spans = F.sort_array(F.concat(*[spans(i, k) for i, k in enumerate(KINDS)]))
+    both = let(all_spans, lambda s: F.struct(s.alias("spans"), F.when(F.size(s) > 0, _words(F.col("text"))).alias("words")))
+    return text.select("doc_id", F.xxhash64("text").alias("text_hash"), F.hash("text").alias("text_check"), both.alias("b")).select(*_KEY, "b.*")
 
 
 def listed(spans: Column) -> Column:
@@ -116,40 +120,45 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["stop"])), ",")
 
 
-def words_beside(found: DataFrame) -> DataFrame:
-    """Key of the text, entity, context (a hash), term, start, stop: every word beside a base span."""
-    sides = F.transform("spans", lambda s: F.array(F.struct(s["entity"].alias("entity"), s["left"].alias("side"), (s["start"] - F.length(s["left"])).alias("at")), F.struct(s["entity"].alias("entity"), s["right"].alias("side"), s["stop"].alias("at"))))
-    out = found.where(F.size("spans") > 0).select(*_KEY, F.explode(F.flatten(sides)).alias("s")).select(*_KEY, "s.*")
-    at = F.col("at")
-    words = _with_places(F.col("side"), WORD, lambda found, _, ends: F.transform(found, lambda m, i: F.struct(F.lower(m).alias("term"), (at + F.get(ends, i) - F.length(m)).alias("start"), (at + F.get(ends, i)).alias("stop"))))
-    return out.select(*_KEY, "entity", F.xxhash64("side").alias("context"), F.explode(words).alias("w")).select(*_KEY, "entity", "context", "w.*")
+def _text_counts(rows: DataFrame, by: str, support: int) -> DataFrame:
+    """by, n, texts, x, y of rows (key, by, n): rows, different texts, and a name of the set of keys, for what stands in `support` texts at least."""
+    once = rows.groupBy(by, "key.text_hash", "key.text_check").agg(F.sum("n").alias("n"), F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("y"))
+    out = once.groupBy(by).agg(F.sum("n").alias("n"), F.count("*").alias("texts"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
+    return out.where(F.col("texts") >= support)
 
 
-def disclosing(spark: SparkSession, docs: DataFrame, found: DataFrame, words: DataFrame, support: int = SUPPORT) -> DataFrame:
-    """entity, term, share: words whose disclosure, as a share of the entity's information, reaches GENERALISE. Counts are over all documents.
+def disclosing(scratch: Scratch, docs: DataFrame, found: DataFrame, support: int = SUPPORT) -> DataFrame:
+    """key, start, stop, share: words that disclose an entity of their text, with the largest share of any's information, from GENERALISE on.
 
-    A row's own key counts once for an entity and a term; hot entities and terms are counted map-side first.
+    Counts are over all rows of docs. Entities in fewer than `support` texts, words in fewer of their texts, and pairs that can't reach the share by what is
+    counted so far, are left out on the way: they would fail at the end. Hot entities and words are counted map-side first.
     """
-    scratch = Scratch(spark)
-    beside = scratch.write(words.groupBy(*_KEY, "entity", "term").agg(F.min("context").alias("context")))
-    together = beside.groupBy("entity", "term", "context").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(F.sum("n").alias("both"), F.count("*").alias("contexts")).where(F.col("contexts") >= support)
-    total = docs.count()
-
-    def share(with_term: str) -> Column:
-        ic = F.log(F.lit(float(total)) / F.col("with_entity"))
-        return F.when(ic > 0, F.log(F.lit(float(total)) * F.col("both") / (F.col("with_entity") * F.col(with_term))) / ic)
-
-    of_entity = found.select(*_KEY, F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity"))
-    with_entity = of_entity.distinct().groupBy("entity").agg(F.count("*").alias("with_entity"))
-    # a term is in as many texts at least as it stands beside any entity in: most candidates can't reach the share even so
-    least = beside.select(*_KEY, "term").distinct().groupBy("term").agg(F.count("*").alias("with_term_at_least"))
-    candidates = scratch.write(together.select("entity", "term", "both").join(with_entity, "entity").join(least, "term").where(share("with_term_at_least") >= GENERALISE))
-    terms = scratch.write(candidates.select("term").distinct())
-    n = terms.count()
-    in_text = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(WORD), F.lit(0)))).alias("term"))
-    in_text = in_text.join(F.broadcast(terms), "term", "left_semi") if n <= SMALL else in_text
-    with_term = in_text.groupBy("term").agg(F.count("*").alias("with_term"))
-    return scratch.write(candidates.join(with_term, "term").select("entity", "term", share("with_term").alias("share")).where(F.col("share") >= GENERALISE))
+    total = F.lit(float(docs.count()))
+    held = found.where(F.size("spans") > 0)
+    in_rows = scratch.write(held.select("key", F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity")).groupBy("key", "entity").agg(F.count("*").alias("n")))
+    entities = _text_counts(in_rows, "entity", support).where(F.col("n") < total)
+    entities = entities.select("entity", F.struct("x", "y").alias("c"), F.col("n").alias("with_c"))
+    classes = scratch.write(in_rows.join(entities, "entity").groupBy("key", "c", "with_c").agg(F.max("n").alias("n")))
+    words = scratch.write(held.join(classes.select("key").distinct(), "key", "left_semi").select("key", F.explode("words").alias("w")).select("key", "w.*"))
+    # rows that repeat a key repeat its words as often
+    terms = _text_counts(words.groupBy("key", "term").agg(F.lit(1).alias("n")).join(classes.groupBy("key").agg(F.max("n").alias("rows")), "key").select("key", "term", F.col("rows").alias("n")), "term", support)
+    plain = F.filter(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(1)), lambda m: m != "")
+    in_text = docs.select(F.explode(F.array_distinct(F.transform(plain, F.lower))).alias("term")).groupBy("term").agg(F.count("*").alias("with_t"))
+    terms = in_text.join(terms, "term").where(F.log(total / F.col("with_t")) >= GENERALISE * F.log(total / F.col("n")) - 1e-9)
+    terms = scratch.write(terms.select("term", F.struct("x", "y").alias("t"), F.col("n").alias("t_beside"), "with_t"))
+    placed = scratch.write(words.join(terms, "term").select("key", "t", "t_beside", "with_t", "start", "stop").distinct())
+    scratch.drop(words)
+
+    def share(both: Column) -> Column:
+        return F.log(total * both / (F.col("with_c") * F.col("with_t"))) / F.log(total / F.col("with_c"))
+
+    # no more rows can show both than show either
+    pairs = placed.select("key", "t", "t_beside", "with_t").distinct().join(classes, "key").where(share(F.least("with_c", "t_beside")) >= GENERALISE - 1e-9)
+    each = pairs.groupBy("c", "t", "with_c", "with_t", "key.text_hash", "key.text_check").agg(F.sum("n").alias("n"))
+    strong = each.groupBy("c", "t", "with_c", "with_t").agg(F.sum("n").alias("both"), F.count("*").alias("texts")).where(F.col("texts") >= support)
+    strong = scratch.write(strong.select("c", "t", "with_t", share(F.col("both")).alias("share")).where(F.col("share") >= GENERALISE))
+    hits = pairs.join(strong, ["c", "t", "with_t"]).groupBy("key", "t", "with_t").agg(F.max("share").alias("share"))
+    return placed.join(hits, ["key", "t", "with_t"]).select("key", "start", "stop", "share")
 
 
 def find(spark: SparkSession, docs: DataFrame, support: int = SUPPORT) -> DataFrame:
@@ -159,16 +168,12 @@ def find(spark: SparkSession, docs: DataFrame, support: int = SUPPORT) -> DataFr
     have none, null ids are kept; an empty table gives no rows. The tables between are written to the shared folder.
     """
     scratch = Scratch(spark)
-    found = scratch.write(base_spans(docs))
-    words = scratch.write(words_beside(found))
-    strong = disclosing(spark, docs, found, words, support)
-    hits = words.join(F.broadcast(strong) if strong.count() <= SMALL else strong, ["entity", "term"])
-    hits = hits.groupBy(*_KEY, "start", "stop").agg(F.max("share").alias("share"))
+    found = scratch.write(base_spans(docs).withColumn("key", F.struct(*_KEY)))
+    hits = disclosing(scratch, docs, found, support)
     span = F.struct("start", F.lit(TERM).alias("kind"), "stop", "share")
-    hits = hits.groupBy(*_KEY).agg(F.collect_list(span).alias("terms")).select(*[F.col(k).alias(f"h_{k}") for k in _KEY], "terms")
+    hits = hits.groupBy("key").agg(F.collect_list(span).alias("terms"))
     base = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["stop"].alias("stop"), F.lit(None).cast("double").alias("share")))
-    rows = found.select(*_KEY, base.alias("base"))
-    rows = rows.join(hits, [F.col(k).eqNullSafe(F.col(f"h_{k}")) for k in _KEY], "left")
+    rows = found.select("key", *_KEY, base.alias("base")).join(hits, "key", "left")
     return rows.select(*_KEY, "base", F.when(F.col("terms").isNull(), F.col("base")).otherwise(F.sort_array(F.concat("base", "terms"))).alias("spans"))
 
 

@@ -239,6 +239,46 @@ def test_disclosure_counts_all_documents(spark):
     assert {texts[i][int(s.split(":")[1]) : int(s.split(":")[2])] for i in range(6) for s in rows[i].spans.split(",") if s[0] == "t"} == {"Quill"}
 
 
+def test_terms_far_from_the_entity(spark):
+    """A name disclosed thousands of letters before or behind the address is found like one beside it; lists of addresses and hostile runs too."""
+    far = "so it was at the office that day and on all other days as well, " * 40
+    texts = [(i, f"{far}{i} to Mabel Thorn ({i}): {far * (i + 1)} thorn@quill.example {far} Yorick! {i}") for i in range(4)]
+    texts += [(50 + i, " ".join(f"u{k}@list.example" for k in range(300)) + f" {i} " + far + " ".join("Word" + chr(97 + k % 26) + chr(97 + k // 26) for k in range(600))) for i in range(3)]
+    texts += [(60, "thorn@quill.example " + "'ab" * 3_000 + "@ Mabel")] + [(100 + i, f"{far} {i}") for i in range(200)]
+    rows = {r.doc_id: r for r in pii.report(spark, spark.createDataFrame(texts, DOCS)).collect()}
+    for i, text in texts:
+        terms = [text[int(a) : int(b)] for k, a, b in (x.split(":") for x in rows[i].spans.split(",") if x) if k == "term"]
+        assert len(terms) == rows[i].n_terms
+        assert terms == (["Mabel", "Thorn", "Yorick"] if i < 4 else ["Mabel"] if i == 60 else []) or (50 <= i < 53 and len(terms) == 600), i
+
+
+def test_disclosing_terms_are_those_of_brute_force(spark):
+    rng = random.Random(7)
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(120)] + ["Élan", "İsa", "o'Neil", "naïve"]
+    mails = [f"p{i}@x.yz" for i in range(9)]
+    docs = []
+    for i in range(300):
+        has = [m for m in mails if rng.random() < 0.02]
+        own = [words[(mails.index(m) * 11 + k) % len(words)] for m in has for k in range(3) if rng.random() < 0.9]
+        body = own + has + [words[int(rng.random() ** 2 * len(words))] for _ in range(rng.randrange(0, 3))]
+        rng.shuffle(body)
+        docs.append((i, " ".join(w + rng.choice(["", ",", "!)", "x1", "-"]) if w in words else w for w in body)))
+    docs += [docs[k] for k in range(20)] + [(900 + k, docs[k][1]) for k in range(20, 50)] + [(None, docs[60][1])] * 2 + [(None, None)]
+    word = re.compile(r"(?<![^\s(\[\"'])[^\W\d_](?:[^\W\d_]|['’-]){2,}+(?=[.,;:!?)\]\"']*+(?:\s|$))")
+    terms_of = [{m.lower() for m in word.findall(t or "")} for _, t in docs]
+    held = [set(re.findall(r"p\d@x\.yz", t or "")) for _, t in docs]
+    with_t, with_c = Counter(w for t in terms_of for w in t), Counter(c for h in held for c in h)
+    both = Counter((c, w) for h, t in zip(held, terms_of, strict=True) for c in h for w in t)
+    texts = Counter((c, w) for c, w, _ in {(c, w, d[1]) for d, h, t in zip(docs, held, terms_of, strict=True) for c in h for w in t})
+    share = {p: math.log(len(docs) * n / (with_c[p[0]] * with_t[p[1]])) / math.log(len(docs) / with_c[p[0]]) for p, n in both.items() if texts[p] >= pii.SUPPORT}
+    strong = {p for p, x in share.items() if x >= pii.GENERALISE}
+    spans = lambda t, h: ",".join(f"term:{m.start()}:{m.end()}" for m in word.finditer(t or "") if any((c, m[0].lower()) in strong for c in h))
+    want = sorted((str(d), spans(t, h)) for (d, t), h in zip(docs, held, strict=True))
+    got = pii.report(spark, spark.createDataFrame(docs, DOCS)).collect()
+    assert sorted((str(r.doc_id), ",".join(x for x in r.spans.split(",") if x[:1] == "t")) for r in got) == want
+    assert len(strong) > 10
+
+
 def test_clean_texts_are_whole(spark):
     """Spans over the edges of chunks, overlapping kinds, code points beyond 16 bits."""
     rng = random.Random(4)
