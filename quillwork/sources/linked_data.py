@@ -21,11 +21,30 @@ PEOPLE = ("Person", "Actor")
 LABELS = "map<string,array<string>>"
 
 
-def nodes(documents: DataFrame) -> DataFrame:
-    """uri and the node columns of ld_nodes(), for each of documents (uri, doc as JSON text). Repeated uris: the document that sorts first."""
+#: Letters of documents, and rows of a wide table, in a task that sorts them.
+DOCUMENTS, RECORDS = 1 << 25, 200_000
+
+
+def _dealt(rows: DataFrame, size: float, most: int) -> DataFrame:
+    """rows by uri, in so many partitions that each has about `most` of their size: a grouping by uri sorts no more than that in a task."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(max(n, -int(-size // most)), "uri")
+
+
+def nodes(documents: DataFrame, objects: DataFrame | None = None) -> DataFrame:
+    """uri and the node columns of ld_nodes(), for each of documents (uri, doc as JSON text). Repeated uris: the document that sorts first.
+
+    With objects (uri) also `mine`: whether the document is that of an object.
+    """
     register(documents.sparkSession)
-    one = documents.groupBy("uri").agg(F.min("doc").alias("doc"))
-    return documents.sparkSession.sql("SELECT d.uri, n.* FROM {docs} d, LATERAL ld_nodes(d.doc) n", docs=one)
+    size = documents.agg(F.sum(F.length("doc"))).first()[0] or 0
+    if objects is None:
+        one = _dealt(documents, size, DOCUMENTS).groupBy("uri").agg(F.min("doc").alias("doc"))
+        return documents.sparkSession.sql("SELECT d.uri, n.* FROM {docs} d, LATERAL ld_nodes(d.doc) n", docs=one)
+    marks = objects.where("uri IS NOT NULL").select("uri", F.lit(None).cast("string").alias("doc"), F.lit(True).alias("mine"))
+    both = documents.select("uri", "doc", F.lit(False).alias("mine")).unionByName(marks)
+    one = _dealt(both, size, DOCUMENTS).groupBy("uri").agg(F.min("doc").alias("doc"), F.max("mine").alias("mine"))
+    return documents.sparkSession.sql("SELECT d.uri, d.mine, n.* FROM {docs} d, LATERAL ld_nodes(d.doc) n", docs=one)
 
 
 def tags(languages: Column) -> Column:
@@ -60,7 +79,8 @@ def _or_label(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """rows with found: the node's own label under und, else the labels of the document that its id names."""
     looked_up = labels.select(F.col("uri").alias("id"), F.col("labels").alias("__l"))
     own = F.map_from_arrays(F.array(F.lit("und")), F.array(F.array("label")))
-    return rows.join(looked_up, "id", "left").withColumn("found", F.when(F.col("label").isNotNull(), own).otherwise(F.col("__l"))).drop("__l")
+    has = rows.where(F.col("label").isNotNull()).withColumn("found", own)  # not joined: most have no id, and would meet in one task
+    return has.unionByName(rows.where(F.col("label").isNull() & F.col("id").isNotNull()).join(looked_up, "id").withColumnRenamed("__l", "found"))
 
 
 def people(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -84,7 +104,13 @@ def people(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _widen(base: DataFrame, parts: dict[str, DataFrame]) -> DataFrame:
-    return reduce(lambda out, kv: out.join(kv[1].select("uri", F.col("value").alias(kv[0])), "uri", "left"), parts.items(), base)
+    """Each uri of base once, with each part's value (uri, value) of it: one grouping, as a join for each part holds a sort for each in one task.
+
+    base should not come straight from a grouping by uri: parts dealt out like it are all made in one task.
+    """
+    each = [rows.select("uri", F.col("value").alias(name)) for name, rows in parts.items()]
+    rows = reduce(lambda out, more: out.unionByName(more, allowMissingColumns=True), each, base.select("uri"))
+    return _dealt(rows, base.count() * (len(parts) + 1), RECORDS).groupBy("uri").agg(*[F.first(name, ignorenulls=True).alias(name) for name in parts])
 
 
 def makers(rows: DataFrame) -> DataFrame:
@@ -138,16 +164,20 @@ def records(objects: DataFrame, documents: DataFrame) -> DataFrame:
     """
     from .sinks import cutter
 
-    rows = cutter(documents.sparkSession)(nodes(documents))
-    mine = rows.join(objects.select("uri").distinct(), "uri", "left_semi")
-    labels = names(rows)
+    cut = cutter(documents.sparkSession)
+    rows = cut(nodes(documents, objects))
+    mine = rows.where("mine").drop("mine")
+    rows = rows.drop("mine")
+    # labels are only looked up by id: those of documents that no other names, as of most objects, are not made
+    labels = cut(names(rows.join(rows.where("node > 0 AND id IS NOT NULL").select(F.col("id").alias("uri")).distinct(), "uri", "left_semi")))
     at = lambda *paths: mine.where(F.col("path").isin(*paths))
     resolved = lambda *paths: _or_label(at(*paths), labels)
     plain = F.col("spans").isNotNull()
     made = makers(mine).join(rows.where("node = 0").select(F.col("uri").alias("person")), "person", "left_semi")
     single = made.groupBy("uri").agg(F.count("*").alias("n"), F.min("person").alias("person")).where("n = 1").select("uri", "person")
-    known = people(rows.join(single.select(F.col("person").alias("uri")).distinct(), "uri", "left_semi"), labels).withColumnRenamed("uri", "person")
-    artist = single.join(known, "person").drop("person")
+    single = cut(single)
+    known = people(cut(rows.join(single.select(F.col("person").alias("uri")).distinct(), "uri", "left_semi")), labels).withColumnRenamed("uri", "person")
+    artist = single.join(cut(known), "person").drop("person")
     where = at("current_location", "current_location/identified_by", "current_location/identified_by/part")
     named = where.where((F.col("path") != "current_location") & (F.col("type") == "Name")).withColumn("text", trim_all(F.col("content"))).where(F.col("text") != "")
     room = F.col("text").rlike(r"\p{Nd}|-") | F.lower("text").rlike("^(hg|zaal|room)")
@@ -169,7 +199,9 @@ def records(objects: DataFrame, documents: DataFrame) -> DataFrame:
         "cho_uri": _first(mine.where("node = 0"), F.col("id"), "node"),
         "rights": _first(right, F.coalesce("label", "id"), "later", "node"),
     }
-    out = _widen(objects.select("uri").distinct(), parts).join(artist, "uri", "left")
+    of_artist = [c for c in artist.columns if c != "uri"]
+    parts_and_artist = parts | {"artist": artist.select("uri", F.struct(*of_artist).alias("value"))}
+    out = _widen(objects, parts_and_artist).select("uri", *parts, "artist.*")
     out = out.withColumn("object_ID", F.element_at(F.split("uri", "/"), -1))
     return out.select("object_ID", *parts, *[F.col(c).alias(f"artist_{a}") for c, a in (("names", "name"), ("activities", "role"), ("birth_place", "place_of_birth"), ("death_place", "place_of_death"), ("birth", "date_begin"), ("death", "date_end"), ("equivalent", "equivalent"))], "uri")
 

@@ -50,6 +50,19 @@ def test_wide_records(spark):
     assert ld.records(objects.limit(0), documents).count() == 0
 
 
+def test_wide_records_join_no_part_and_hold_no_document_twice(spark):
+    """A join for each part held a sort for each in one task, and documents were sorted as they were read."""
+    docs = spark.createDataFrame([(f"u/{i}", json.dumps({"id": f"u/{i}", "classified_as": [{"_label": "cup"}]})) for i in range(50)] + [(None, "{}"), ("u/0", "{")], "uri string, doc string")
+    objects = docs.select("uri").unionByName(spark.createDataFrame([("u/none",), ("u/1",)], "uri string"))
+    out = ld.records(objects, docs)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert not [x for x in plan.splitlines() if "Join" in x and "LeftOuter" in x]
+    rows = {r.object_ID: r for r in out.collect()}
+    assert out.count() == len(rows) == 52 and rows["1"].object_name == {"und": ["cup"]} and rows["none"].cho_uri is None and rows[None].cho_uri is None
+    few = ld._dealt(docs, 40_000, 1_000)
+    assert few.rdd.getNumPartitions() == 40 and ld._dealt(docs, 0, 1_000).count() == 52
+
+
 def test_makers_in_order(spark):
     made = {"produced_by": {"part": [{"assigned_by": {"assigned_property": "carried_out_by", "assigned": {"type": "Group", "formed_by": {"influenced_by": [{"id": "w", "type": "Person"}]}}}, "carried_out_by": {"id": "b", "type": "Person"}}], "assigned_by": {"assigned_property": "carried_out_by", "assigned": {"id": "a", "type": "Actor"}}, "carried_out_by": {"id": "z", "type": "Person"}}}
     rows = ld.nodes(spark.createDataFrame([("u", json.dumps(made))], "uri string, doc string"))
